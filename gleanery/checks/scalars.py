@@ -8,7 +8,7 @@ from gleanery import vocab
 from gleanery.checks import query
 from gleanery.fixtures import table, view, with_views
 from gleanery.functions import codes, labels, lists, text, urls
-from gleanery.operators.labels import add_resource_label
+from gleanery.operators.labels import add_download_name, add_resource_label
 
 SPACES = (r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
           r"\x{202F}\x{205F}\x{3000}]+")
@@ -300,10 +300,10 @@ def _(spark, d):
     FROM (SELECT *, part_no % 8 AS k, CAST(uri_no AS VARCHAR) AS s,
                  trim(regexp_replace(label, ' +', ' ', 'g')) AS raw FROM fx_labels)"""))
 def _(spark, d):
-    return (add_resource_label(view(spark, d, "fx_labels"), "label")
+    named = add_download_name(view(spark, d, "fx_labels"), "label", "download_name")
+    return (add_resource_label(named, "label")
             .select("project_id", "dataset_number", "part_no", "uri_no", "content_label",
-                    "file_extension", "file_category", "file_name",
-                    labels.label_file_name("label").alias("download_name")))
+                    "file_extension", "file_category", "file_name", "download_name"))
 
 
 @query("license_map", with_views("fx_licenses", """

@@ -13,8 +13,8 @@ _BRACKET = r"^\s*(.*?)\s*\[([^\]]+)\]\s*(.*?)\s*$"
 
 
 def bracket_parts(c) -> Column:
-    """`prefix [bracket] suffix` as a struct; without a bracket all text is prefix."""
-    text = clean_text(c)
+    """`prefix [bracket] suffix` of cleaned text; without a bracket all is prefix."""
+    text = as_col(c)
     has = text.rlike(_BRACKET)
     part = lambda g: F.when(has, clean_text(F.regexp_extract(text, _BRACKET, g)))
     return F.struct(
@@ -24,37 +24,6 @@ def bracket_parts(c) -> Column:
     )
 
 
-def label_format(c) -> Column:
-    """File format a menu label announces, else empty."""
-    text = clean_text(c)
-    low = F.lower(text)
-    out = lookup(vocab.BRACKET_EXTENSIONS, F.lower(bracket_parts(text)["bracket"]))
-    out = F.coalesce(out, lookup(vocab.LABEL_FORMATS, low))
-    for phrase, ext in vocab.SETUP_FORMATS.items():
-        out = F.coalesce(out, F.when(low.contains(phrase), F.lit(ext)))
-    return F.coalesce(out, F.lit(""))
-
-
-def label_extension(c) -> Column:
-    """Extension from the bracket alone, `unknown` when it says nothing."""
-    return F.coalesce(
-        lookup(vocab.BRACKET_EXTENSIONS, F.lower(bracket_parts(c)["bracket"])), F.lit("unknown")
-    )
-
-
-def label_file_name(c) -> Column:
-    """Download name of a label: suffix, else prefix, with the bracket's extension."""
-    parts, ext = bracket_parts(c), label_extension(c)
-    base = safe_file(
-        F.coalesce(F.nullif(parts["suffix"], F.lit("")), F.nullif(parts["prefix"], F.lit("")),
-                   clean_text(c)),
-        "download",
-    )
-    suffix = F.concat(F.lit("."), ext)
-    return F.when((ext != "unknown") & ~F.endswith(F.lower(base), suffix),
-                  safe_file(F.concat(base, suffix), "download")).otherwise(base)
-
-
 def dataset_row(name, css_class=None) -> Column:
     """Number, identifier and title of a dataset row.
 

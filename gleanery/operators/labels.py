@@ -2,14 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery import vocab
-from gleanery.functions import labels as L
+from gleanery.functions.codes import lookup
+from gleanery.functions.labels import bracket_parts
 from gleanery.functions.text import clean_text, safe_file
 
 
+def _announced_format() -> Column:
+    """Format a label announces in its bracket, as a whole, or as a setup kind."""
+    out = F.coalesce(lookup(vocab.BRACKET_EXTENSIONS, F.lower("_parts.bracket")),
+                     lookup(vocab.LABEL_FORMATS, F.col("_low")))
+    for phrase, ext in vocab.SETUP_FORMATS.items():
+        out = F.coalesce(out, F.when(F.col("_low").contains(phrase), F.lit(ext)))
+    return F.coalesce(out, F.lit(""))
+
+
+def _with_suffix(base: str, suffix: str, profile: str) -> Column:
+    """Base name that ends in the suffix, which it may already do."""
+    return F.when(F.endswith(F.lower(base), F.col(suffix)), F.col(base)).otherwise(
+        safe_file(F.concat(base, suffix), profile))
+
+
+def add_download_name(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Add the download name of a label: suffix, else prefix, with the bracket's extension."""
+    return (
+        df.withColumn("_parts", bracket_parts(clean_text(column)))
+        .withColumn("_base", safe_file(
+            F.when(F.col("_parts.suffix") != "", F.col("_parts.suffix"))
+            .otherwise(F.col("_parts.prefix")), "download"))
+        .withColumn("_suffix", F.coalesce(
+            F.concat(F.lit("."), lookup(vocab.BRACKET_EXTENSIONS, F.lower("_parts.bracket"))),
+            F.lit("")))
+        .withColumn(out, _with_suffix("_base", "_suffix", "download"))
+        .drop("_parts", "_base", "_suffix")
+    )
+
+
 def add_resource_label(df: DataFrame, column: str) -> DataFrame:
     """Add what a menu label says about its file.
 
@@ -19,13 +50,14 @@ def add_resource_label(df: DataFrame, column: str) -> DataFrame:
     prefixes = "^(?:" + "|".join(vocab.DOC_PREFIXES) + ")"
     return (
         df.withColumn("raw_label", clean_text(column))
-        .withColumn("_parts", L.bracket_parts("raw_label"))
+        .withColumn("_parts", bracket_parts("raw_label"))
         .withColumn("_has", F.col("_parts.bracket") != "")
         .withColumn("content_label",
                     F.when(F.col("_has"), F.col("_parts.prefix")).otherwise(F.col("raw_label")))
         .withColumn("display_name",
                     F.when(F.col("_has"), F.col("_parts.suffix")).otherwise(F.col("raw_label")))
-        .withColumn("file_extension", L.label_format("raw_label"))
+        .withColumn("_low", F.lower("raw_label"))
+        .withColumn("file_extension", _announced_format())
         .withColumn("_content", F.lower("content_label"))
         .withColumn("_display", F.lower("display_name"))
         .withColumn(
@@ -41,14 +73,9 @@ def add_resource_label(df: DataFrame, column: str) -> DataFrame:
         .withColumn("_base", safe_file(
             F.when(F.col("display_name") != "", F.col("display_name"))
             .otherwise(F.col("raw_label")), "record"))
-        .withColumn("_suffix", F.concat(F.lit("."), F.col("file_extension")))
-        .withColumn(
-            "file_name",
-            F.when((F.col("file_extension") != "")
-                   & ~F.endswith(F.lower("_base"), F.col("_suffix")),
-                   safe_file(F.concat("_base", "_suffix"), "record"))
-            .otherwise(F.col("_base")),
-        )
+        .withColumn("_suffix", F.when(F.col("file_extension") != "", F.concat(
+            F.lit("."), F.col("file_extension"))).otherwise(F.lit("")))
+        .withColumn("file_name", _with_suffix("_base", "_suffix", "record"))
         .withColumn("identity_key", F.concat_ws("|", "_display", "file_extension", "_content"))
-        .drop("_parts", "_has", "_content", "_display", "_base", "_suffix")
+        .drop("_parts", "_has", "_low", "_content", "_display", "_base", "_suffix")
     )
