@@ -11,6 +11,7 @@ from gleanery.fixtures import table, view, with_views
 from gleanery.functions import codes, lists, text
 from gleanery.operators import dedupe, files, people, signals, summary, versions
 from gleanery.operators.labels import add_resource_label
+from gleanery.sources.landing import spread
 
 HIT_ORDER = ["term_ord", "start_pos", "pos"]
 FILE_ORDER = ["dataset_number", "part_no", "uri_no"]
@@ -179,7 +180,7 @@ _DESC = f"SELECT doc_id, low, {_HITS} AS hits FROM (SELECT doc_id, lower(trim(te
                 ELSE 'No qualitative keywords found in description' END AS reason
     FROM ({_DESC})""")
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     return signals.description_signal(docs, "text").select(
         "doc_id", F.col("description_signal").alias("signal"),
         F.array_join("description_terms", "|").alias("terms"),
@@ -189,7 +190,8 @@ def _(spark, d):
 @query("keyword_frequency", f"""
     SELECT term, count(*) AS n FROM (SELECT unnest(hits) AS term FROM ({_DESC})) GROUP BY term""")
 def _(spark, d):
-    return signals.term_frequency(table(spark, d, "documents"), "text")
+    return signals.term_frequency(spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id"),
+                                  "text")
 
 
 @query("word_signal", r"""
@@ -197,7 +199,7 @@ def _(spark, d):
     FROM (SELECT doc_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}\p{Pc}]+', ' ', 'g')) AS w
           FROM documents)""")
 def _(spark, d):
-    found = signals.word_signal(table(spark, d, "documents").select("doc_id", "text"), "text",
+    found = signals.word_signal(spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id"), "text",
                                 ["PAR", "the"])
     return found.select(
         "doc_id", F.array_contains("description_terms", "PAR").alias("par"),
@@ -233,7 +235,7 @@ def _phrases(column, words):
                                   ELSE '' END AS summary
                       FROM documents)))""")
 def _(spark, d):
-    docs = table(spark, d, "documents").select(
+    docs = spread(table(spark, d, "documents"), "doc_id").select(
         "doc_id", "text", "lang",
         F.when(F.col("doc_id") % 7 == 0, F.lit("Transcripts"))
         .when(F.col("doc_id") % 7 == 1, F.lit("Focus_groups")).otherwise(F.col("source"))
@@ -272,14 +274,16 @@ signals AS (
                 ELSE 'No qualitative file signal found' END AS file_reason
     FROM signals""")
 def _(spark, d):
-    return signals.file_signals(view(spark, d, "fx_files"), ["project_id"]).select(
+    return signals.file_signals(spread(view(spark, d, "fx_files"), "project_id"), ["project_id"]).select(
         "project_id", "file_count", F.array_join("extensions", ", ").alias("extensions"),
         F.array_join("filename_terms", ", ").alias("filename_terms"), "file_reason")
 
 
 def classified(spark, d, name="fx_projects"):
-    projects = signals.description_signal(view(spark, d, name), "description").drop("description")
-    return signals.classify_projects(projects, view(spark, d, "fx_files"), "project_id")
+    projects = signals.description_signal(
+        spread(view(spark, d, name), "project_id"), "description").drop("description")
+    return signals.classify_projects(
+        projects, spread(view(spark, d, "fx_files"), "project_id"), "project_id")
 
 
 CLASSIFIED_SQL = with_views("fx_projects fx_files", "").rstrip() + ",\n" + SIGNAL_SQL + f""",
@@ -333,7 +337,8 @@ def _(spark, d):
     FROM (SELECT *, lower(trim(description)) AS low FROM fx_projects)
     WHERE page_type IN ('icpsr', 'openicpsr', 'datalumos') AND len({_HITS}) > 0"""))
 def _(spark, d):
-    projects = signals.description_signal(view(spark, d, "fx_projects"), "description")
+    projects = signals.description_signal(
+        spread(view(spark, d, "fx_projects"), "project_id"), "description")
     return (projects.filter(F.col("description_signal")
                             & F.col("page_type").isin(list(vocab.PAGE_TYPES)))
             .select("project_id", "page_type", F.col("project_id").cast("string").alias("study_id"),
@@ -414,7 +419,7 @@ def _(spark, d):
     FROM fx_files"""))
 def _(spark, d):
     keys = ["project_id", "dataset_number", "part_no", "uri_no"]
-    found = view(spark, d, "fx_files")
+    found = spread(view(spark, d, "fx_files"), *keys)
     log = found.filter("part_no % 3 <> 0").select(
         *keys, text.safe_file("file_name").alias("safe_name"), F.col("raw_status").alias("status"))
     return files.file_states(found.select(*keys, "file_name"), log, keys).drop("file_name")
@@ -427,7 +432,7 @@ def _(spark, d):
                AS status
     FROM fx_files"""))
 def _(spark, d):
-    rows = view(spark, d, "fx_files").select(
+    rows = spread(view(spark, d, "fx_files"), "project_id").select(
         "uri_no", "file_name", F.lit(" ").alias("file_type"), F.col("raw_status").alias("status"))
     return files.download_rows(rows, ["uri_no"])
 
@@ -436,7 +441,7 @@ def _(spark, d):
 
 def file_entries(spark, d):
     """Files as extracted entries with the fields the merge works on."""
-    f = view(spark, d, "fx_files")
+    f = spread(view(spark, d, "fx_files"), "project_id")
     return f.select(
         F.col("project_id"), "dataset_number", "part_no", "uri_no",
         F.lit("").alias("resource_uuid"), F.lit(None).cast("bigint").alias("file_id"),
@@ -632,7 +637,7 @@ known AS (
     LEFT JOIN known ON known.project_id = m.project_id AND known.description = label_text
 """).replace(")\n,\n", "),\n", 1))
 def _(spark, d):
-    menu = view(spark, d, "fx_labels").withColumn(
+    menu = spread(view(spark, d, "fx_labels"), "project_id").withColumn(
         "dataset_identifier", F.concat(F.lit("DS"), F.col("dataset_number").cast("string")))
     known = (view(spark, d, "fx_files")
              .withColumn("file_description",
@@ -669,7 +674,7 @@ def _(spark, d):
                 FROM fx_labels) WHERE raw <> '')
     GROUP BY project_id, dataset_number, identity_key"""))
 def _(spark, d):
-    labelled = add_resource_label(view(spark, d, "fx_labels"), "label").filter("raw_label <> ''")
+    labelled = add_resource_label(spread(view(spark, d, "fx_labels"), "project_id"), "label").filter("raw_label <> ''")
     return labelled.groupBy("project_id", "dataset_number", "identity_key").agg(
         F.bool_or(F.col("uri_no") % 2 == 0).alias("previewable"),
         F.bool_or(F.col("uri_no") % 2 == 1).alias("downloadable"))

@@ -9,11 +9,15 @@ from gleanery.checks import query
 from gleanery.fixtures import table, view, with_views
 from gleanery.functions import codes, labels, lists, text, urls
 from gleanery.operators.labels import add_download_name, add_resource_label
+from gleanery.sources.landing import spread
 
 SPACES = (r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
           r"\x{202F}\x{205F}\x{3000}]+")
 
 
+FILE_KEY = ("project_id", "dataset_number", "part_no", "uri_no")
+
+
 def cleaned(column: str) -> str:
     return f"trim(regexp_replace({column}, '{SPACES}', ' ', 'g'))"
 
@@ -41,7 +45,7 @@ def match_form_sql(column: str) -> str:
     SELECT doc_id, length(t) AS n, md5(t) AS digest, md5(lower(trim(text))) AS folded
     FROM (SELECT doc_id, text, {cleaned('text')} AS t FROM documents)""")
 def _(spark, d):
-    return (table(spark, d, "documents").select("doc_id", "text", text.clean_text("text").alias("t"))
+    return (spread(table(spark, d, "documents"), "doc_id").select("doc_id", "text", text.clean_text("text").alias("t"))
             .select("doc_id", F.length("t").cast("bigint").alias("n"), F.md5("t").alias("digest"),
                     F.md5(text.fold("text")).alias("folded")))
 
@@ -50,7 +54,7 @@ def _(spark, d):
     SELECT doc_id, md5(m) AS digest, length(m) AS n
     FROM (SELECT doc_id, {match_form_sql('text')} AS m FROM documents)""")
 def _(spark, d):
-    return (table(spark, d, "documents").select("doc_id", text.match_form("text").alias("m"))
+    return (spread(table(spark, d, "documents"), "doc_id").select("doc_id", text.match_form("text").alias("m"))
             .select("doc_id", F.md5("m").alias("digest"), F.length("m").cast("bigint").alias("n")))
 
 
@@ -96,7 +100,7 @@ _QPATH = r"regexp_extract(url, '[?&]path=([^&#]+)', 1)"
                      ELSE {_PATH} END), '/+$', ''), '[^/]*$') AS resource_name
           FROM fx_links)"""))
 def _(spark, d):
-    return (view(spark, d, "fx_links")
+    return (spread(view(spark, d, "fx_links"), "link_id", "part_no", "uri_no")
             .withColumn("path_name", urls.url_file_name("url"))
             .withColumn("resource_name", urls.resource_file_name("url"))
             .select("link_id", "part_no", "uri_no", "pos", "path_name",
@@ -209,7 +213,7 @@ def version_sql(column: str) -> str:
     FROM fx_versions"""))
 def _(spark, d):
     minor = F.when(F.col("version_key") % 3 != 0, F.col("version_key") % 3)
-    return view(spark, d, "fx_versions").select(
+    return spread(view(spark, d, "fx_versions"), "version_key").select(
         "version_key", codes.version_value("raw_version").alias("from_text"),
         codes.version_value("version").alias("from_label"),
         codes.version_folder("download_version_folder").alias("folder"),
@@ -226,7 +230,7 @@ def _(spark, d):
                 ELSE '2001--2005' END AS period
     FROM fx_versions"""))
 def _(spark, d):
-    return view(spark, d, "fx_versions").select(
+    return spread(view(spark, d, "fx_versions"), "version_key").select(
         "version_key", codes.iso_date("raw_date").alias("iso_date"),
         codes.period("raw_period").alias("period"))
 
@@ -249,7 +253,7 @@ _EXT = ("CASE part_no % 6 WHEN 0 THEN 'pdf' WHEN 1 THEN 'csv' WHEN 2 THEN 'docx'
     FROM (SELECT *, {_EXT} AS extension FROM fx_files)"""))
 def _(spark, d):
     e = F.col("extension")
-    return (view(spark, d, "fx_files").withColumn("extension", text.file_extension("file_name"))
+    return (spread(view(spark, d, "fx_files"), *FILE_KEY).withColumn("extension", text.file_extension("file_name"))
             .select("project_id", "dataset_number", "part_no", "uri_no", "extension",
                     codes.mime_type(e, "icpsr").alias("mime_study"),
                     codes.mime_type(e, "openicpsr").alias("mime_open"),
@@ -272,7 +276,7 @@ def _(spark, d):
     FROM fx_files"""))
 def _(spark, d):
     e = F.col("extension")
-    return (view(spark, d, "fx_files").withColumn("extension", text.file_extension("file_name"))
+    return (spread(view(spark, d, "fx_files"), *FILE_KEY).withColumn("extension", text.file_extension("file_name"))
             .select("project_id", "dataset_number", "part_no", "uri_no",
                     labels.open_file_content("file_name", F.lit(""), F.lit(""), e)
                     .alias("open_content"),
@@ -300,7 +304,7 @@ def _(spark, d):
     FROM (SELECT *, part_no % 8 AS k, CAST(uri_no AS VARCHAR) AS s,
                  trim(regexp_replace(label, ' +', ' ', 'g')) AS raw FROM fx_labels)"""))
 def _(spark, d):
-    named = add_download_name(view(spark, d, "fx_labels"), "label", "download_name")
+    named = add_download_name(spread(view(spark, d, "fx_labels"), *FILE_KEY), "label", "download_name")
     return (add_resource_label(named, "label")
             .select("project_id", "dataset_number", "part_no", "uri_no", "content_label",
                     "file_extension", "file_category", "file_name", "download_name"))
@@ -374,7 +378,7 @@ def _(spark, d):
                        list_transform(string_split(text, '.'), lambda x: {cleaned('x')}) AS p
                 FROM documents))""")
 def _(spark, d):
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents"), "doc_id")
     return (docs.withColumn("p", lists.clean_list(F.split("text", r"\.")))
             .select("doc_id", F.array_join("p", "|").alias("parts"),
                     F.size("p").cast("bigint").alias("n"),

@@ -7,22 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery import vocab
 from gleanery.functions.codes import lookup
-from gleanery.functions.text import as_col, clean_text, safe_file
-
-_BRACKET = r"^\s*(.*?)\s*\[([^\]]+)\]\s*(.*?)\s*$"
-
-
-def bracket_parts(c) -> Column:
-    """`prefix [bracket] suffix` of cleaned text; without a bracket all is prefix."""
-    text = as_col(c)
-    has = text.rlike(_BRACKET)
-    part = lambda g: F.when(has, clean_text(F.regexp_extract(text, _BRACKET, g)))
-    return F.struct(
-        F.coalesce(part(1), text).alias("prefix"),
-        F.coalesce(part(2), F.lit("")).alias("bracket"),
-        F.coalesce(part(3), F.lit("")).alias("suffix"),
-    )
-
+from gleanery.functions.text import as_col, clean_text
 
 def dataset_row(name, css_class=None) -> Column:
     """Number, identifier and title of a dataset row.

@@ -71,12 +71,13 @@ def match_form(c) -> Column:
     Two passes over the whole string do what a token loop would: `-ies` to
     `-y` first, then `-ses` to `-s` or a single final `s` off, in one
     alternation so that a word is shortened once only. Words of up to three
-    letters and words in `-ss` stay.
+    letters and words in `-ss` stay. Only the ending is matched and the word
+    before it is looked back at, so each letter is visited once.
     """
     words = F.trim(F.regexp_replace(F.lower(as_col(c)), r"[^a-z0-9]+", " "))
-    words = F.regexp_replace(words, r"([a-z0-9]{2,})ies(?= |$)", "$1y")
+    words = F.regexp_replace(words, r"(?<=[a-z0-9]{2})ies(?= |$)", "y")
     return F.regexp_replace(
-        words, r"([a-z0-9]{2,}s)es(?= |$)|([a-z0-9]{2,}[a-rt-z0-9])s(?= |$)", "$1$2"
+        words, r"(?<=[a-z0-9]{2}s)es(?= |$)|(?<=[a-z0-9]{2}[a-rt-z0-9])s(?= |$)", ""
     )
 
 
@@ -87,12 +88,15 @@ def safe_folder(c) -> Column:
 
 
 def safe_file(c, profile: str = "plain") -> Column:
-    """File-safe name. The four profiles differ in what they replace and default to."""
+    """File-safe name. The four profiles differ in what they replace and default to.
+
+    Character references have to be decoded before (`clean_markup_text`).
+    """
     name = clean_text(c)
     if profile == "plain":
         return F.regexp_replace(name, r"[\\/]+", "_")
     if profile == "record":
-        name = F.regexp_replace(clean_markup_text(c), r"^https?://", "")
+        name = F.regexp_replace(name, r"^https?://", "")
         name, default = F.regexp_replace(name, r"[^A-Za-z0-9._-]+", "_"), "metadata"
         ends = "._"
     elif profile == "search":

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from gleanery import vocab
 from gleanery.functions import workers
-from gleanery.functions.lists import clean_list, join_text
-from gleanery.functions.text import as_col, clean_text, file_extension, fold, match_form
+from gleanery.functions.lists import clean_list
+from gleanery.functions.text import clean_text, file_extension, fold, match_form
 
 REASON_TERMS = 10
 
@@ -79,10 +79,12 @@ def term_frequency(df: DataFrame, column: str, terms: list[str] | None = None) -
             .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _mask(hay: Column, words: list[str]) -> Column:
+def _mask(hay: Column, words: list[str], engine: str) -> Column:
     """One bit per word that the text contains."""
     if len(words) > 63:
         raise ValueError("a mask holds at most 63 words")
+    if engine == "automaton":
+        return workers.term_mask([w.lower() for w in words])(hay)
     entries = F.array(*[F.struct(F.lit(w.lower()).alias("w"), F.lit(1 << i).cast("bigint").alias("b"))
                         for i, w in enumerate(words)])
     return F.aggregate(F.filter(entries, lambda e: F.contains(hay, e["w"])),
@@ -103,7 +105,9 @@ def _decode(mask: Column, words: list[str]) -> Column:
         F.when(mask.bitwiseAND(F.lit(b).cast("bigint")) != 0, F.lit(w)) for w, b in pairs]))
 
 
-def file_signals(files: DataFrame, keys: list[str], name: str = "file_name") -> DataFrame:
+def file_signals(
+    files: DataFrame, keys: list[str], name: str = "file_name", engine: str = "automaton"
+) -> DataFrame:
     """Per key: do file extensions or file names give qualitative evidence, and which?
 
     Evidence travels as bit masks merged with `bit_or`, so the state of a
@@ -112,12 +116,12 @@ def file_signals(files: DataFrame, keys: list[str], name: str = "file_name") ->
     half = len(vocab.QUALITATIVE_EXTENSIONS) // 2
     first, second = vocab.QUALITATIVE_EXTENSIONS[:half], vocab.QUALITATIVE_EXTENSIONS[half:]
     marked = files.select(
-        *keys, name, file_extension(name).alias("_e"), F.lower(name).alias("_low"))
+        *keys, file_extension(name).alias("_e"),
+        _mask(F.lower(name), vocab.FILENAME_TERMS, engine).alias("_k"))
     merged = marked.groupBy(*keys).agg(
         F.bit_or(_value_mask(F.col("_e"), first)).alias("_m1"),
         F.bit_or(_value_mask(F.col("_e"), second)).alias("_m2"),
-        F.bit_or(F.coalesce(_mask(F.col("_low"), vocab.FILENAME_TERMS),
-                            F.lit(0).cast("bigint"))).alias("_m3"),
+        F.bit_or(F.coalesce("_k", F.lit(0).cast("bigint"))).alias("_m3"),
         F.count(F.lit(1)).alias("file_count"),
     )
     named = (
@@ -148,22 +152,26 @@ def phrase_matches(text: Column, phrases: list[str]) -> Column:
     return F.transform(F.filter(entries, lambda e: F.contains(text, e["m"])), lambda e: e["p"])
 
 
-def merged_summary(summary, abstract) -> Column:
-    """Summary and abstract as one text; an abstract that repeats the summary is left out."""
-    s, a = clean_text(F.coalesce(as_col(summary), F.lit(""))), clean_text(
-        F.coalesce(as_col(abstract), F.lit("")))
-    same = (s != "") & (a != "") & (match_form(s) == match_form(a))
-    return F.when(same, s).otherwise(join_text(s, a))
-
-
 def phrase_signals(
     df: DataFrame, summary: str, abstract: str, kinds: str, modes: str,
     use_kind: bool = True, use_mode: bool = True,
 ) -> DataFrame:
-    """Add the three page signals, the decision and its reason."""
+    """Add the three page signals, the decision and its reason.
+
+    Summary and abstract are one text; an abstract that repeats the summary is
+    left out. Both are brought to match form once, and the form of the joined
+    text is the join of the forms.
+    """
     staged = (
-        df.withColumn("summary_text", merged_summary(summary, abstract))
-        .withColumn("_s", match_form("summary_text"))
+        df.withColumn("_cs", F.coalesce(clean_text(summary), F.lit("")))
+        .withColumn("_ca", F.coalesce(clean_text(abstract), F.lit("")))
+        .withColumn("_fs", match_form("_cs")).withColumn("_fa", match_form("_ca"))
+        .withColumn("_same", (F.col("_cs") != "") & (F.col("_ca") != "")
+                    & (F.col("_fs") == F.col("_fa")))
+        .withColumn("summary_text", F.when(F.col("_same"), F.col("_cs")).otherwise(
+            F.trim(F.concat_ws(" ", "_cs", "_ca"))))
+        .withColumn("_s", F.when(F.col("_same"), F.col("_fs")).otherwise(
+            F.trim(F.concat_ws(" ", "_fs", "_fa"))))
         .withColumn("_k", match_form(F.array_join(clean_list(kinds), " ")))
         .withColumn("_m", match_form(F.array_join(clean_list(modes), " ")))
         .withColumn("summary_matches", phrase_matches(F.col("_s"), vocab.SUMMARY_PHRASES))
@@ -183,7 +191,7 @@ def phrase_signals(
     return (
         staged.withColumn("decision_reason", reason)
         .withColumn("qualitative", ~F.startswith("decision_reason", F.lit("no_enabled")))
-        .drop("_s", "_k", "_m")
+        .drop("_cs", "_ca", "_fs", "_fa", "_same", "_s", "_k", "_m")
     )
 
 
