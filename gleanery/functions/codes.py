@@ -101,12 +101,13 @@ def release_state(published) -> Column:
 
 
 def project_key(repository, project, kind=None) -> Column:
-    """Numeric key: the decimal digits of repository, page type and project in a row."""
-    ident = clean_text(as_col(project).cast("string"))
-    # an id that is no number gets a stable hash in its place
-    digits = F.when(ident.rlike(r"^\d+$"), ident).otherwise(
-        F.pmod(F.xxhash64(ident), F.lit(10**12)).cast("string")
-    )
+    """Numeric key: the decimal digits of repository, page type and project in a row.
+
+    An id that is no number gets a stable hash in its place; no id, no key.
+    """
+    ident = text_or_null(as_col(project).cast("string"))
+    digits = F.when(ident.rlike(r"^\d+$"), ident).when(
+        ident.isNotNull(), F.pmod(F.xxhash64(ident), F.lit(10**12)).cast("string"))
     parts = [as_col(repository).cast("string")]
     if kind is not None:
         digit = F.coalesce(lookup(vocab.PAGE_TYPES, F.lower(clean_text(kind))), F.lit(9))

@@ -77,3 +77,110 @@ def term_mask(terms: list[str]):
             yield batch.map(bits_of).astype("int64")
 
     return find
+
+
+VOID = frozenset(
+    "area base br col embed hr img input link meta param source track wbr".split())
+ELEMENT = T.StructType([
+    T.StructField("ord", T.IntegerType()), T.StructField("parent", T.IntegerType()),
+    T.StructField("last", T.IntegerType()), T.StructField("tag", T.StringType()),
+    T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("t0", T.IntegerType()), T.StructField("t1", T.IntegerType()),
+])
+PAGE_TREE = T.StructType([
+    T.StructField("elems", T.ArrayType(ELEMENT)),
+    T.StructField("texts", T.ArrayType(T.StringType())),
+    T.StructField("owners", T.ArrayType(T.IntegerType())),
+    T.StructField("scripts", T.ArrayType(T.StringType())),
+])
+
+
+def _tree(markup):
+    """Elements in document order and the text nodes between them.
+
+    An element covers the text nodes t0 up to t1 and the elements up to
+    `last`; `owners` holds the element each text node sits in directly. Script
+    and style bodies are no text; script bodies are returned on their own.
+    """
+    from html.parser import HTMLParser
+
+    elems, texts, owners, scripts, stack = [], [], [], [], []
+
+    class Reader(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            here = [len(elems), stack[-1][0] if stack else -1, len(elems), tag,
+                    {k: v or "" for k, v in attrs}, len(texts), len(texts)]
+            elems.append(here)
+            if tag not in VOID:
+                stack.append(here)
+
+        def handle_endtag(self, tag):
+            if any(e[3] == tag for e in stack):
+                while self.close_top() != tag:
+                    pass
+
+        def handle_data(self, data):
+            inside = stack[-1][3] if stack else ""
+            if inside == "script":
+                scripts.append(data)
+            elif inside != "style" and data.strip():
+                texts.append(data)
+                owners.append(stack[-1][0] if stack else -1)
+
+        def close_top(self):
+            top = stack.pop()
+            top[2], top[6] = len(elems) - 1, len(texts)
+            return top[3]
+
+    reader = Reader(convert_charrefs=True)
+    reader.feed(markup)
+    reader.close()
+    while stack:
+        reader.close_top()
+    keys = [f.name for f in ELEMENT]
+    return {"elems": [dict(zip(keys, e)) for e in elems], "texts": texts, "owners": owners,
+            "scripts": scripts}
+
+
+_EMPTY_TREE = {"elems": [], "texts": [], "owners": [], "scripts": []}
+
+
+@F.pandas_udf(PAGE_TREE)
+def page_tree(pages: pd.Series) -> pd.DataFrame:
+    """Parse each page once; all extraction works on the result with expressions."""
+    rows = [_EMPTY_TREE if page is None else _tree(page) for page in pages]
+    return pd.DataFrame(rows, columns=[f.name for f in PAGE_TREE])
+
+
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+def assignments(scripts: pd.Series) -> pd.Series:
+    """`var x = ...;` and `variables.x = ...;` to name and right-hand side.
+
+    The right-hand side ends at the first semicolon outside strings and
+    brackets; a name assigned twice keeps the later value.
+    """
+    import re
+
+    start = re.compile(r"(?:variables\.|var\s+)([A-Za-z0-9_]+)\s*=\s*")
+    token = re.compile(r"\"(?:\\.|[^\"\\])*\"?|'(?:\\.|[^'\\])*'?|[{}\[\]();]", re.S)
+
+    def right_side(text, begin):
+        open_brackets = {"{": 0, "[": 0, "(": 0}
+        partner = {"}": "{", "]": "[", ")": "("}
+        for found in token.finditer(text, begin):
+            mark = found.group()
+            if mark in open_brackets:
+                open_brackets[mark] += 1
+            elif mark in partner:
+                open_brackets[partner[mark]] -= 1
+            elif mark == ";" and not any(open_brackets.values()):
+                return text[begin:found.start()].strip()
+        return text[begin:].strip()
+
+    def read(bodies):
+        if bodies is None:
+            return None
+        return {m.group(1): right_side(body, m.end()) for body in bodies
+                for m in start.finditer(body)}
+
+    return scripts.map(read)
