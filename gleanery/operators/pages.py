@@ -474,8 +474,9 @@ def pager_urls(tree: DataFrame, key: str, url: str = "url") -> DataFrame:
     options = F.filter("elems", lambda e: (e["tag"] == "option") & inside(e, selector)
                        & (F.trim(F.coalesce(attr(e, "value"), F.lit(""))) != ""))
     step = tree.withColumn("_a", anchors).withColumn("_o", options)
-    by_link = step.select(key, urls.resolve(url, F.explode(
-        F.transform("_a", lambda e: attr(e, "href")))).alias("page_url"))
+    by_link = step.select(key, F.col(url).alias("_url"), F.explode(
+        F.transform("_a", lambda e: attr(e, "href"))).alias("_h")).select(
+        key, urls.resolve("_url", "_h").alias("page_url"))
     chosen = step.select(key, F.col(url).alias("_url"),
                          F.explode(F.transform("_o", lambda e: F.trim(attr(e, "value")))).alias("_v"))
     plain = F.regexp_replace(F.regexp_replace("_url", r"#.*$", ""),
