@@ -19,4 +19,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    from gleanery.checks import documents, pages, relational, scalars  # noqa: F401
+    from gleanery.checks import documents, pages, records, relational, scalars, store  # noqa: F401

@@ -147,18 +147,22 @@ def shape_mismatches(records: DataFrame, key: str, record: str) -> DataFrame:
     Missing keys are warnings, wrong kinds are errors. Null is accepted for
     scalars; keys below a missing or wrong parent are not reported again.
     """
-    checks = []
+    sections = []
     for section, kinds in schemas.RECORD.items():
-        parent = F.try_variant_get(record, f"$.{section}", "variant") if section else F.col(record)
-        is_object = F.coalesce(_type_name(parent) == "dict", F.lit(False))
-        for kind, names in kinds.items():
-            for name in names:
-                path = f"{section}.{name}" if section else name
-                checks.append(F.when(is_object, F.struct(
-                    F.lit(path).alias("path"), F.lit(_EXPECTED.get(kind, "any")).alias("expected"),
-                    _type_name(F.try_variant_get(record, f"$.{path}", "variant")).alias("actual"))))
-    rows = records.select(key, F.explode(F.array_compact(F.array(*checks))).alias("c")).select(
-        key, "c.*")
+        expected = F.array(*[
+            F.struct(F.lit(n).alias("name"), F.lit(_EXPECTED.get(kind, "any")).alias("expected"))
+            for kind, names in kinds.items() for n in names])
+        # a section that is missing or no object gives NULL and is left out here
+        values = F.try_variant_get(record, f"$.{section}" if section else "$", "map<string,variant>")
+        sections.append(F.struct(F.lit(f"{section}." if section else "").alias("prefix"),
+                                 expected.alias("fields"), values.alias("values")))
+    rows = (
+        records.select(key, F.explode(F.array(*sections)).alias("s")).filter("s.values IS NOT NULL")
+        .select(key, "s.prefix", "s.values", F.explode("s.fields").alias("f"))
+        .select(key, F.concat("prefix", "f.name").alias("path"), "f.expected",
+                F.try_element_at("values", F.col("f.name")).alias("_v"))
+        .withColumn("actual", _type_name(F.col("_v"))).drop("_v")
+    )
     scalar = F.col("expected").isin("str", "bool", "int")
     fits = (
         (F.col("expected") == "any") | (F.col("actual") == F.col("expected"))

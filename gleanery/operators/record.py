@@ -233,15 +233,21 @@ def resolve_lists(facts: DataFrame, profile: str) -> DataFrame:
 def merge_funding(listed: DataFrame, inline: DataFrame) -> DataFrame:
     """Funding of a study from two sources, matched by funder and identifier.
 
-    The inline source overlays name, identifier and display; URL and grant
-    number come from the listed source where it has them.
+    Of entries with the same key the last one counts. The inline source overlays
+    the display text; the URL comes from the listed source.
     """
     key = ["study_id", "funder_name", "identifier"]
-    clean = lambda df: df.select(
-        "study_id", *[F.coalesce(clean_markup_text(c), F.lit("")).alias(c)
-                      for c in df.columns if c != "study_id"])
-    left = clean(listed).dropDuplicates(key).withColumnRenamed("display", "_display")
-    right = clean(inline).groupBy(*key).agg(F.max("display").alias("_inline"))
+
+    def clean(df):
+        texts = [c for c in df.columns if c not in ("study_id", "place")]
+        return df.select("study_id", "place", *[
+            F.coalesce(clean_markup_text(c), F.lit("")).alias(c) for c in texts])
+
+    left = clean(listed).groupBy(*key).agg(
+        F.max_by(F.struct("display", "url"), "place").alias("_l")
+    ).select(*key, F.col("_l.display").alias("_display"), F.col("_l.url").alias("url"))
+    said = F.when(F.col("display") != "", F.col("place"))
+    right = clean(inline).groupBy(*key).agg(F.max_by("display", said).alias("_inline"))
     return (
         left.join(right, key, "full")
         .select(*key, F.col("identifier").alias("grant_number"),
@@ -292,6 +298,12 @@ def json_ld_facts(pages: DataFrame, ld: str = "jsonld") -> DataFrame:
     )
 
 
+def _reader(fields: list[str] | None):
+    """Text of a variant: itself, or the first of some of its fields."""
+    paths = [f"$.{f}" for f in fields] if fields else ["$"]
+    return lambda x: F.coalesce(*[F.try_variant_get(x, p, "string") for p in paths])
+
+
 def inline_facts(variables: DataFrame) -> DataFrame:
     """Facts of inline script data: keys of `metadata`, and the named variables.
 
@@ -310,12 +322,8 @@ def inline_facts(variables: DataFrame) -> DataFrame:
                            F.array(F.try_variant_get("json", f"$.{path}", "variant")))
         field = {"creator": ["personName", "display", "orgName"],
                  "affiliation": ["affiliationsDisplay", "personOrgName", "orgName"]}.get(name)
-        if field:
-            read = lambda x, f=field: F.coalesce(*[
-                F.try_variant_get(x, f"$.{k}", "string") for k in f])
-        else:
-            read = lambda x: F.try_variant_get(x, "$", "string")
-        entries.append(F.struct(F.lit(name).alias("name"), F.transform(items, read).alias("values")))
+        entries.append(F.struct(F.lit(name).alias("name"),
+                                F.transform(items, _reader(field)).alias("values")))
     listed = (
         variables.filter("name = 'metadata'")
         .select("study_id", "page_ord", F.explode(F.array(*entries)).alias("e"))
