@@ -40,7 +40,7 @@ def clean_markup_list(c) -> Column:
     Entities are decoded once per row on the joined entries (a Python column
     function cannot run inside a lambda), then split back.
     """
-    mark = ""
+    mark = "\ue000"  # private use, in no text
     bare = F.transform(
         F.coalesce(as_col(c), _empty()),
         lambda x: F.regexp_replace(x, r"(?s)<!--.*?-->|<[/!?a-zA-Z][^>]*>", " "),

@@ -10,7 +10,7 @@ from gleanery.functions import workers
 # Every character that counts as white space in the source rules: the Unicode
 # White_Space property plus the four ASCII separators it leaves out.
 SPACE = r"[\s\x1c-\x1f]"
-WIDE_SPACE = r"[\s\x1c-\x1f​﻿]"
+WIDE_SPACE = r"[\s\x1c-\x1f\u200b\ufeff]"
 
 
 def as_col(c) -> Column:
