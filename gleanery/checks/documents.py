@@ -101,7 +101,7 @@ def _(spark, d):
 
 def version_lists(spark, d):
     """One version list per order: up to three versions, the last one without a number."""
-    orders = table(spark, d, "orders")
+    orders = spread(table(spark, d, "orders"), "o_orderkey")
     k = F.col("o_orderkey")
 
     def version(major, minor, files):

@@ -397,3 +397,35 @@ def _(spark, d):
 def _(spark, d):
     tree = pages.parse_pages(search_page(spark, d).filter(F.col("page_id") % 3 == 2))
     return pages.study_links(pages.links(tree, "page_id"), "page_id").drop("place")
+
+
+@query("merged_signals", """
+    SELECT study, bool_or(c_custkey % 2 = 0) AS documentation_only_download,
+           bool_or(c_custkey % 2 = 1) AS access_restricted_data_button, false AS analyze_online,
+           max(c_custkey) AS variable_count
+    FROM (SELECT *, c_custkey % 50 AS study FROM customer) GROUP BY study""")
+def _(spark, d):
+    tree = study(spark, d)
+    by_page = lambda df: df.withColumn("study", F.col("page_id") % 50)
+    counts = pages.variable_count(pages.script_variables(tree, "page_id"), tree, "page_id")
+    acts = pages.action_signals(tree, "page_id", study_rules=True).drop("controls")
+    return pages.merge_page_signals(by_page(acts), by_page(counts), "study", "page_id")
+
+
+@query("search_results", """
+    SELECT c_custkey AS page_id, pos, CASE pos WHEN 0 THEN 'https://h/' || CAST(c_custkey AS VARCHAR)
+        ELSE c_name END AS study_url
+    FROM customer, (SELECT CAST(unnest([0, 1]) AS BIGINT) AS pos)
+    WHERE pos = 0 OR c_custkey % 3 = 2""")
+def _(spark, d):
+    k, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    shape = F.col("c_custkey") % 3
+    body = (
+        F.when(shape == 0, F.concat(F.lit('["https://h/'), k, F.lit('"," "]')))
+        .when(shape == 1, F.concat(F.lit('{"items":[],"studies":[{"url":" https://h/'), k,
+                                   F.lit('","study_url":""},{"title":"x"},7]}')))
+        .otherwise(F.concat(F.lit('[{"persistent_url":"https://h/'), k, F.lit('"},{"project_url":"'),
+                            name, F.lit('","url":"u"}]'))))
+    rows = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("page_id"), F.try_parse_json(body).alias("result"))
+    return pages.search_results(rows, ["page_id"])

@@ -23,15 +23,14 @@ def lookup(entries: dict, key: Column) -> Column:
 
 
 def version_value(c) -> Column:
-    """Version as major.minor: `V2`, `2`, `release 2` give 2.0, blank gives 1.0."""
-    text = F.trim(F.ltrim(F.upper(text_or_null(c)), F.lit("V")))
-    runs = F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0))
-    return (
-        F.when(text.rlike(r"^\d+\.\d+$"), text)
-        .when(F.size(runs) >= 2, F.concat_ws(".", F.get(runs, F.lit(0)), F.get(runs, F.lit(1))))
-        .when(F.size(runs) == 1, F.concat(F.get(runs, F.lit(0)), F.lit(".0")))
-        .otherwise(F.lit("1.0"))
-    )
+    """Version as major.minor: `V2`, `2`, `release 2` give 2.0, blank gives 1.0.
+
+    Only the first two runs of digits matter, whatever stands around them.
+    """
+    c = as_col(c)
+    run = lambda pattern, default: F.coalesce(
+        F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")), F.lit(default))
+    return F.concat(run(r"(\d+)", "1"), F.lit("."), run(r"\d+\D+(\d+)", "0"))
 
 
 def version_folder(c) -> Column:

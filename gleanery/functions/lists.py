@@ -79,7 +79,7 @@ def join_list(c, separator: str = "; ") -> Column:
 
 
 def sorted_distinct(c) -> Column:
-    return F.array_sort(F.array_distinct(as_col(c)))
+    return F.sort_array(F.array_distinct(as_col(c)))
 
 
 def first_of(c) -> Column:

@@ -46,8 +46,10 @@ def percent_decode(c) -> Column:
 
 
 def form_decode(c) -> Column:
-    """Decode a query value: `+` is a space."""
-    return F.try_url_decode(F.regexp_replace(as_col(c), r"%(?![0-9A-Fa-f]{2})", "%25"))
+    """Decode a query value: `+` is a space. Plain values skip the decoder."""
+    c = as_col(c)
+    decoded = F.try_url_decode(F.regexp_replace(c, r"%(?![0-9A-Fa-f]{2})", "%25"))
+    return F.when(c.contains("%") | c.contains("+"), decoded).otherwise(c)
 
 
 def form_encode(c) -> Column:
@@ -111,23 +113,26 @@ def url_identity(c, kind: str) -> Column:
     base = F.concat(scheme, host, url_path(url))
     if keep == []:
         return base
-    pairs = F.transform(
-        F.filter(F.split(url_query(url), "&"), lambda p: p != ""),
-        lambda p: F.struct(
-            form_decode(F.regexp_extract(p, r"^([^=]*)", 1)).alias("k"),
-            form_decode(F.regexp_extract(p, r"^[^=]*=(.*)$", 1)).alias("v"),
-        ),
-    )
+    def name(pair):
+        return form_decode(F.substring_index(pair, "=", 1))
+
+    def content(pair):
+        at = F.instr(pair, "=")
+        return F.when(at > 0, form_decode(F.substr(pair, at + 1))).otherwise(F.lit(""))
+
     if keep is None:
-        pairs = F.filter(pairs, lambda p: F.lower(p["k"]) != "jsessionid")
+        wanted = lambda p: (p != "") & (F.lower(name(p)) != "jsessionid")
     else:
-        pairs = F.filter(pairs, lambda p: p["k"].isin(keep))
+        wanted = lambda p: name(p).isin(keep)
+    pairs = F.transform(F.filter(F.split(url_query(url), "&"), wanted), lambda p: F.struct(
+        name(p).alias("k"), content(p).alias("v")))
     query = F.array_join(
-        F.transform(F.array_sort(pairs),
+        F.transform(F.sort_array(pairs),
                     lambda p: F.concat(form_encode(p["k"]), F.lit("="), form_encode(p["v"]))),
         "&",
     )
-    return F.concat(base, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    # base and encoded query hold no question mark, so only an empty query leaves one at the end
+    return F.rtrim(F.concat(base, F.lit("?"), query), F.lit("?"))
 
 
 def resolve(base, href) -> Column:

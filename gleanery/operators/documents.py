@@ -89,7 +89,7 @@ def project_rows(
         F.lit(folder).alias("download_repository_folder"),
         safe_folder(F.coalesce("_d.identifier", F.lit(""))).alias("download_project_folder"),
         F.lit(method).alias("download_method"),
-        F.array_sort(F.array_distinct(
+        F.sort_array(F.array_distinct(
             compound_values(field_value(fields, "keyword"), "keywordValue"))).alias("keywords"),
         *people,
         F.trim(F.coalesce("_d.latestVersion.license.name", F.lit(""))).alias("license"),

@@ -16,20 +16,26 @@ from gleanery.operators.summary import final_status
 CATEGORIES = ["documentation", "data", "setup", "other"]
 
 
-def file_key(profile: str) -> Column:
-    """Identity of a file: uuid, else id, else URI, else a composite of names.
+def add_file_key(files: DataFrame, profile: str) -> DataFrame:
+    """Add the identity of a file: uuid, else id, else URI, else a composite of names.
 
     Study pages use dataset, name and content as the composite, project pages
     name and title; folder pages compare URIs by their identifying parameters.
+    The URI form is a column of its own, so that it is worked out once.
     """
-    uri = url_identity("uri", "file") if profile == "datalumos" else F.col("uri")
+    uri = url_identity("uri", "file") if profile == "datalumos" else clean_text("uri")
     if profile == "icpsr":
         parts = ["dataset_identifier", "file_name", "file_content"]
     else:
         parts = ["file_name", "title"]
     composite = F.concat_ws("|", *[F.coalesce(clean_text(p), F.lit("")) for p in parts])
-    return F.coalesce(text_or_null("resource_uuid"), text_or_null(F.col("file_id").cast("string")),
-                      text_or_null(uri), composite)
+    return (
+        files.withColumn("_uri", uri)
+        .withColumn("file_key", F.coalesce(
+            text_or_null("resource_uuid"), text_or_null(F.col("file_id").cast("string")),
+            F.when(F.col("_uri") != "", F.col("_uri")), composite))
+        .drop("_uri")
+    )
 
 
 def merge_files(
@@ -37,7 +43,7 @@ def merge_files(
     flags: list[str] = (), values: list[str] = (),
 ) -> DataFrame:
     """Unique files of each study, every field from the first row that fills it."""
-    keyed = files.withColumn("file_key", file_key(profile))
+    keyed = add_file_key(files, profile)
     return merge_duplicates(keyed, study + ["file_key"], order, texts, flags, values)
 
 

@@ -125,12 +125,14 @@ def meta_tags(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
 
 # ---------------------------------------------------------------- controls and links
 
+CONTROL_ATTRIBUTES = ["value", "aria-label", "title", "href", "id", "class", "data-title"]
+
+
 def controls(tree: DataFrame, key: str) -> DataFrame:
     """Links, buttons and inputs, one row each, with all text that describes them."""
     one = lambda e: F.struct(
         e["ord"].alias("ord"), e["tag"].alias("tag"), inner_text(e).alias("text"),
-        *[attr(e, a).alias(a.replace("-", "_")) for a in (
-            "value", "aria-label", "title", "href", "id", "class", "data-title")])
+        *[attr(e, a).alias(a.replace("-", "_")) for a in CONTROL_ATTRIBUTES])
     rows = tree.select(key, F.explode(
         F.transform(by_tag("a", "button", "input"), one)).alias("c")).select(key, "c.*")
     parts = [text_or_null(c) for c in (
@@ -146,26 +148,65 @@ def action_signals(tree: DataFrame, key: str, study_rules: bool = False) -> Data
     """Three access signals of each page, from its controls and its visible text.
 
     Study pages also take a restricted-data control that is clearly a control.
+    All is read inside the row: no shuffle, and the page is parsed once.
     """
-    low = F.lower("combined")
-    restricted = low.rlike(r"\baccess restricted data\b")
+    described = F.transform(by_tag("a", "button", "input"), lambda e: F.lower(F.concat_ws(
+        " | ", F.nullif(inner_text(e), F.lit("")),
+        *[F.nullif(F.trim(attr(e, a)), F.lit("")) for a in CONTROL_ATTRIBUTES])))
+    rows = (
+        tree.withColumn("_c", F.filter(described, lambda c: c != ""))
+        .withColumn("_v", F.lower(visible_text("html")))
+    )
+    found = lambda pattern: F.exists("_c", lambda c: c.rlike(pattern))
+    restricted = found(r"\baccess restricted data\b")
     if study_rules:
-        restricted |= low.rlike(r"\brestricted data\b") & low.rlike("button|btn|link|href|access|/restricted")
-    found = controls(tree, key).groupBy(key).agg(
-        F.bool_or(low.rlike(r"\bdocumentation only\b")).alias("_d"),
-        F.bool_or(restricted).alias("_r"),
-        F.bool_or(low.rlike(r"\banalyze online\b")).alias("_a"),
-        F.count(F.lit(1)).alias("controls"))
-    shown = tree.select(key, F.lower(visible_text("html")).alias("_v"))
-    no = F.lit(False)
-    return shown.join(found, key, "left").select(
+        restricted |= F.exists("_c", lambda c: c.rlike(r"\brestricted data\b") & c.rlike(
+            "button|btn|link|href|access"))
+    return rows.select(
         key,
-        (F.coalesce("_d", no) | F.col("_v").contains("documentation only"))
+        (found(r"\bdocumentation only\b") | F.col("_v").contains("documentation only"))
         .alias("documentation_only_download"),
-        (F.coalesce("_r", no) | F.col("_v").contains("access restricted data"))
+        (restricted | F.col("_v").contains("access restricted data"))
         .alias("access_restricted_data_button"),
-        (F.coalesce("_a", no) | F.col("_v").rlike(r"\banalyze online\b")).alias("analyze_online"),
-        F.coalesce("controls", F.lit(0)).cast("bigint").alias("controls"))
+        (found(r"\banalyze online\b") | F.col("_v").rlike(r"\banalyze online\b"))
+        .alias("analyze_online"),
+        F.size("_c").cast("bigint").alias("controls"))
+
+
+def merge_page_signals(signals: DataFrame, counts: DataFrame, study: str, page: str) -> DataFrame:
+    """Signals and counts of all pages of a study: any page's signal, the largest count.
+
+    `signals` and `counts` have one row per page; a study without any count
+    keeps NULL.
+    """
+    return (
+        signals.join(counts, [study, page], "full").groupBy(study).agg(
+            *[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in (
+                "documentation_only_download", "access_restricted_data_button",
+                "analyze_online")],
+            *[F.max(c).alias(c) for c in counts.columns if c not in (study, page)])
+    )
+
+
+def search_results(found: DataFrame, keep: list[str], result: str = "result") -> DataFrame:
+    """Search output of any known shape (variant) to rows with a study URL.
+
+    A list of URLs, a list of objects, or an object that holds such a list under
+    items, results, studies or data; an object's URL is the first of six fields.
+    """
+    paths = ["$", "$.items", "$.results", "$.studies", "$.data"]
+    lists = [F.try_variant_get(result, p, "array<variant>") for p in paths]
+    chosen = F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists])
+    fields = ["study_url", "project_url", "url", "source_url", "final_url", "persistent_url"]
+    texts = [text_or_null(F.try_variant_get(F.col("v"), f"$.{f}", "string")) for f in fields]
+    plain = F.when(F.schema_of_variant(F.col("v")) == "STRING",
+                   text_or_null(F.try_variant_get(F.col("v"), "$", "string")))
+    return (
+        found.select(*keep, F.posexplode(chosen).alias("pos", "v"))
+        .select(*keep, F.col("pos").cast("bigint").alias("pos"),
+                F.coalesce(plain, *texts).alias("study_url"))
+        .filter("study_url IS NOT NULL")
+    )
 
 
 def action_texts(tree: DataFrame, key: str) -> DataFrame:
@@ -286,7 +327,7 @@ def headed_sections(tree: DataFrame, key: str) -> DataFrame:
                 i.alias("t"), F.when((i < stop) & (F.get(F.col("owners"), i) == h["parent"]),
                                      collapse_wide(F.get(F.col("texts"), i))).alias("v"))),
             lambda s: s["v"].isNotNull())
-        ordered = F.array_sort(F.concat(tags, bare))
+        ordered = F.sort_array(F.concat(tags, bare))
         return F.struct(label_text(inner_text(h)).alias("label"),
                         clean_list(F.filter(F.transform(ordered, lambda s: s["v"]),
                                             lambda v: ~is_noise(v)), drop=True).alias("values"))

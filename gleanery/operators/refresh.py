@@ -58,6 +58,11 @@ def bucket(buckets: int, key: str = KEY):
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def touched_buckets(seen: DataFrame, buckets: int) -> list[int]:
+    """Buckets the seen projects are in; at most `buckets` numbers reach the driver."""
+    return [r[0] for r in seen.select(bucket(buckets).alias("b")).distinct().collect()]
+
+
 def create_table(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """Write a table partitioned by key bucket, so that a refresh touches few partitions.
 
@@ -90,10 +95,10 @@ def refresh_path(
     batch again gives the same result. Every touched bucket also gets a marker
     row: a bucket whose projects are all gone is overwritten as well.
     """
-    touched = seen.select(bucket(buckets).alias("key_bucket")).distinct()
-    ids = [r[0] for r in touched.collect()]  # at most `buckets` numbers
+    ids = touched_buckets(seen, buckets)
     if not ids:
         return
+    touched = spark.createDataFrame([(i,) for i in ids], "key_bucket int")
     # the filter is on the partition column: only touched buckets are read
     current = read_table(spark, path, schema, ids)
     result = refresh(current, seen, new)

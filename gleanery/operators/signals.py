@@ -126,7 +126,7 @@ def file_signals(
     )
     named = (
         merged
-        .withColumn("extensions", F.array_sort(F.concat(
+        .withColumn("extensions", F.sort_array(F.concat(
             _decode(F.col("_m1"), first), _decode(F.col("_m2"), second))))
         .withColumn("filename_terms", _decode(F.col("_m3"), vocab.FILENAME_TERMS))
         .withColumn("extension_found", F.size("extensions") > 0)

@@ -113,7 +113,7 @@ def study_records(
     gathered = lists.filter(F.col("field").isin("language", "kind_of_data", "collection_mode"))
     arrays = gathered.groupBy("study_id").pivot(
         "field", ["language", "kind_of_data", "collection_mode"]).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("order", "value"))), lambda s: s["value"]))
+        F.transform(F.sort_array(F.collect_list(F.struct("order", "value"))), lambda s: s["value"]))
     records = (
         scalars.join(main, "study_id").join(arrays, "study_id", "left")
         .withColumn("page_type", F.lit(profile))

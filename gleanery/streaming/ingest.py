@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.operators import refresh
 from gleanery.operators.dedupe import first_wins
+from gleanery.session import cut_lineage
 
 ORDER = ["term_ord", "start_pos", "pos"]
 
@@ -21,9 +22,10 @@ def merge_first_hits(
     hit is decided again over both. Only buckets of ids in the batch are read
     and rewritten; the batch is reduced to one row per id before that.
     """
-    fresh = first_wins(batch.select(*schema.names), ["project_key"], ORDER)
+    fresh = cut_lineage(first_wins(batch.select(*schema.names), ["project_key"], ORDER), "batch")
     keys = fresh.select("project_key")
-    stored = refresh.read_table(spark, path, schema).join(keys, "project_key", "left_semi")
+    ids = refresh.touched_buckets(keys, buckets)
+    stored = refresh.read_table(spark, path, schema, ids).join(keys, "project_key", "left_semi")
     best = first_wins(stored.unionByName(fresh.select(*schema.names)), ["project_key"], ORDER)
     refresh.refresh_path(spark, path, schema, keys, best.select(*schema.names), buckets)
 
