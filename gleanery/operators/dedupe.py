@@ -200,12 +200,12 @@ def remaining(candidates: DataFrame, done: DataFrame, keys: list[str]) -> DataFr
     return candidates.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def row_numbers(df: DataFrame, keys: list[str], buckets: int = 1024) -> DataFrame:
+def row_numbers(df: DataFrame, keys: list[str], buckets: int = 65_536) -> DataFrame:
     """Dense ids 1..n as column `id`, the same on every run.
 
     Rows are spread over hash buckets by their natural key, numbered inside a
-    bucket, and shifted by the sizes of the buckets before it. No task sees more
-    than one bucket. `keys` has to be unique.
+    bucket, and shifted by the sizes of the buckets before it. No sort sees more
+    than one bucket, a 65536th of the rows. `keys` has to be unique.
     """
     spread = df.withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     sizes = spread.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))

@@ -431,3 +431,21 @@ def project_rows(
 def file_stem_of(df: DataFrame) -> Column:
     """File stem a record is saved under: DOI, else study id, else title."""
     return safe_file(first_non_blank("doi", "study_id", "title", F.lit("metadata")), "record")
+
+
+def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Add the columns a frame lacks; columns that are there stay as they are."""
+    return df.select("*", *[F.lit(v).alias(c) for c, v in defaults.items() if c not in df.columns])
+
+
+def compact_document(df: DataFrame) -> Column:
+    """A record as JSON without empty texts and lists; false, zero and maps stay."""
+    kept = []
+    for field in df.schema:
+        column, kind = F.col(field.name), field.dataType.simpleString()
+        if kind == "string":
+            column = F.nullif(column, F.lit(""))
+        elif kind.startswith("array"):
+            column = F.when(F.size(column) > 0, column)
+        kept.append(column.alias(field.name))
+    return F.to_json(F.struct(*kept), {"ignoreNullFields": "true"})

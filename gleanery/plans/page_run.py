@@ -40,17 +40,19 @@ def page_facts(routed: DataFrame, profile: str) -> DataFrame:
     """All facts of the pages of one profile.
 
     Needs study_id, page_ord, url, html. The parsed tree feeds many outputs, so
-    it is written once and read back: the Python stage runs a single time.
+    it is written once, without the markup, and read back: the Python stage runs
+    a single time. Title, meta tags and JSON-LD are patterns over the markup and
+    are read from the pages themselves.
     """
     mine = (
         routed.filter(F.col("page_type") == profile)
         .select("study_id", "page_ord", "url", "html")
         .withColumn("page_id", F.struct("study_id", "page_ord"))
     )
-    tree = cut_lineage(P.parse_pages(mine), "pages")
+    tree = cut_lineage(P.parse_pages(mine).drop("html"), "pages")
     with_page = lambda df: df.select("*", "page_id.*")
     zero = F.lit(0)
-    base = tree.select("study_id", "page_ord", P.page_title("html").alias("title"),
+    base = mine.select("study_id", "page_ord", P.page_title("html").alias("title"),
                        urls.url_version("url").alias("url_version"),
                        P.json_ld("html").alias("jsonld"))
     main = base.groupBy("study_id").agg(F.min_by(F.struct("title", "url_version"), "page_ord")
@@ -61,7 +63,7 @@ def page_facts(routed: DataFrame, profile: str) -> DataFrame:
         _facts(main, "page", F.lit("url_version"), zero, F.col("m.url_version")),
         _facts(main, "constant", F.lit("repository"), zero,
                F.lit(vocab.REPOSITORY_NAME[profile])),
-        _facts(with_page(P.meta_tags(tree, "page_id")), "meta", F.col("name"), F.col("place"),
+        _facts(with_page(P.meta_tags(mine, "page_id")), "meta", F.col("name"), F.col("place"),
                F.col("value")),
     ]
     if profile == "datalumos":

@@ -12,9 +12,12 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key's join partition even where that costs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # pages are large rows: keep one Arrow batch well under an executor's memory
+    # texts and pages are large rows: bound an Arrow batch by rows and by bytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # an object store or an unreliable executor must never publish half a task
     "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gleanery.operators import dedupe, files, pages, refresh, signals, summary, versions
+from gleanery.operators import dedupe, files, pages, record, refresh, signals, summary, versions
 from gleanery.operators.labels import add_download_name, add_resource_label
 from gleanery.schemas import TABLES, empty_tables
 
@@ -208,3 +208,32 @@ def test_script_assignments(spark):
 
 def test_package_formats(value):
     assert value(files.package_formats(F.array(F.lit("SAS"), F.lit("X"))))[:3] == ["SAS", "X", "Qualitative Data"]
+
+
+def test_compact_document_and_defaults(spark):
+    df = spark.createDataFrame([("", "x", [], False, 0)], "a string, b string, c array<string>, d boolean, e int")
+    assert df.select(record.compact_document(df).alias("j")).first().j == '{"b":"x","d":false,"e":0}'
+    assert record.with_defaults(df, {"b": "no", "z": "1"}).first().asDict()["z"] == "1"
+
+
+def test_scalars_follow_precedence(spark):
+    facts = spark.createDataFrame([
+        ("1", 0, "page", "title", 0, "Page"), ("1", 1, "meta", "og:title", 0, "Og"),
+        ("1", 2, "variable", "title", 0, "Second"), ("1", 1, "variable", "title", 0, "First"),
+        ("1", 0, "jsonld", "name", 0, "  "), ("2", 0, "page", "title", 0, "Only"),
+        ("1", 0, "section", "Topic", 1, "b"), ("1", 0, "inline", "topic", 0, "a"), ("1", 1, "section", "Topic", 0, "a"),
+    ], "study_id string, page_ord long, source string, name string, place long, value string")
+    got = {r.study_id: r for r in record.resolve_scalars(facts, "icpsr").collect()}
+    assert got["1"].title == "Second" and got["2"].title == "Only" and got["2"].doi == ""
+    topics = record.resolve_lists(facts, "icpsr").filter("field = 'topics'").orderBy("order")
+    assert [r.value for r in topics.collect()] == ["a", "b"]
+
+
+def test_folder_profile_splits_and_maps(spark):
+    facts = spark.createDataFrame([
+        ("1", 0, "panel", "Scope of Project/Subject Terms", 0, "b; a"), ("1", 0, "meta", "DC.publisher", 0, "icpsr"),
+        ("1", 0, "panel", "Scope of Project/Time Period(s)", 0, "3/2001 - 4/2002"),
+    ], "study_id string, page_ord long, source string, name string, place long, value string")
+    got = {(r.field, r.value) for r in record.resolve_lists(facts, "datalumos").collect()}
+    assert {("subjects", "a"), ("keywords", "b"), ("temporal_coverage", "2001-03 -- 2002-04"),
+            ("distributors", "Inter-university Consortium for Political and Social Research (ICPSR)")} <= got
