@@ -100,7 +100,8 @@ def page_facts(routed: DataFrame, profile: str) -> DataFrame:
     facts = parts[0].withColumn("page_ord", F.col("page_ord").cast("bigint"))
     for part in parts[1:]:
         facts = facts.unionByName(part.withColumn("page_ord", F.col("page_ord").cast("bigint")))
-    return facts.filter("value IS NOT NULL")
+    # scalars and lists are both resolved from the facts, which are far smaller than the pages
+    return cut_lineage(facts.filter("value IS NOT NULL"), "facts")
 
 
 def study_records(
