@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, preference, sharding
+from . import exact_dedup, mixing, packing, preference, sharding, simhash, token_store
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -86,6 +92,25 @@ def op5_sharding(spark, folder):
         "row.doc_id", "row.source", "slot", "shard")
 
 
+@query("op6_simhash")
+def op6_simhash(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op7_token_store")
+def op7_token_store(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_store.read(token_store.write(docs, vocabulary(), end_id=0))
+
+
+@query("op8_packing")
+def op8_packing(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, vocabulary(), capacity=1024, end_id=2)
+
+
 @query("op9_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
