@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, preference, sharding, simhash, token_store
+from . import exact_dedup, mixing, packing, preference, sharding, simhash, substring, token_store
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -30,6 +30,27 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_substring_dedup", r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM spots),
+again AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows WHERE s IN (SELECT s FROM again)),
+out AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(coalesce(g, []))::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(g, []), i)), ' '), ''))
+         AS kept_sha256
+FROM words LEFT JOIN out USING (doc_id)
+""")
+def op1_substring_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs, window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_mixing")
 def op2_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
