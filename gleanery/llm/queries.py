@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, preference, sharding, simhash, substring, token_store
+from . import ann, exact_dedup, mixing, packing, preference, sharding, simhash, substring, token_store
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -59,6 +59,12 @@ def op2_mixing(spark, folder):
         (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+@query("op3_neighbours")
+def op3_neighbours(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, lambda vec_id: vec_id % 100 == 0, k=10)
+
+
 @query("op4_preference", """
 WITH told AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i,
