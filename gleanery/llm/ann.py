@@ -232,7 +232,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, key: str = "vec_id",
 
     shards = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARD_ROWS)).cast("int")
     counted = spark.createDataFrame(sizes[["list", "n"]].astype("int64"), "list long, n long")
-    postings = (assigned.select("vec_id", "vec", F.explode("lists").cast("long").alias("list"))
+    postings = (assigned.select("vec_id", "vec", F.explode(F.col("lists").cast("array<long>")).alias("list"))
                 .join(F.broadcast(counted), "list")
                 .withColumn("shard", F.pmod(F.xxhash64("vec_id"), shards).cast("int")).drop("n"))
     asked = (all_rows.filter(is_query(F.col("vec_id")))
