@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, mixing, packing, preference, sharding, simhash, substring, token_store
+from . import ann, exact_dedup, mixing, packing, preference, sharding, simhash, substring, token_store, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -147,3 +147,11 @@ def op9_exact_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return exact_dedup.exact_groups(docs).select(
         "row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "row.doc_id", toxicity.held_out("row.doc_id").alias("held_out"), "score", "predicted")
