@@ -41,6 +41,11 @@ def coded_words(texts: Sequence[str], find=WORD_RE.findall):
     """Words of all texts as (code of each word, distinct words, ends of the texts)."""
     found = [find(t) for t in texts]
     ends = np.cumsum([len(w) for w in found]) if found else np.zeros(0, dtype=np.int64)
+    if any("\0" in t for t in texts):  # factorize ends a string there
+        number: dict[str, int] = {}
+        codes = np.array([number.setdefault(w, len(number)) for words in found for w in words],
+                         dtype=np.int64)
+        return codes, list(number), ends
     flat = np.array([w for words in found for w in words], dtype=object)
     codes, distinct = pd.factorize(flat)
     return codes, distinct, ends

@@ -11,12 +11,37 @@ import numpy as np
 
 from .common import coded_words, ragged, runs_of
 
-#: White space of the tokenizers library's splitting pattern, as code points (fixed values).
-_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-                           0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-#: Byte-level BPE never merges across the beginning of these pieces: a run of other characters
-#: with at most one space before it, or white space.
-_PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Characters below U+0250 by the classes of the splitting pattern (fixed values): letters,
+#: numbers and white space; white space beyond that range.
+_LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_NUMBER = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_SPACE = "\\x09-\\x0d\\x20\x85\xa0"
+_FAR_SPACE = "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+#: Is there a character that the classes above don't cover?
+_FAR = re.compile("[^\\x00-\u024f]")
+#: The splitting pattern of byte-level BPE over these classes (a fixed value).
+_PIECES = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
+    f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: For other texts: no piece reaches over the beginning of these larger parts, which the
+#: library splits itself.
+_PARTS = re.compile(f" ?[^{_SPACE}{_FAR_SPACE}]+|[{_SPACE}{_FAR_SPACE}]+"
+                    f"(?![^{_SPACE}{_FAR_SPACE}])|[{_SPACE}{_FAR_SPACE}]+")
+
+
+def _split(text: str) -> list[str]:
+    if not _FAR.search(text):
+        return _PIECES.findall(text)
+    return [piece for part in _PARTS.findall(text)
+            for piece in ((part,) if _FAR.search(part) else _PIECES.findall(part))]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself where it is printable, else the next free."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(others)}}
 
 
 class Encoder:
@@ -27,7 +52,7 @@ class Encoder:
     results: beyond it the memory starts anew).
     """
 
-    def __init__(self, path: str, most_pieces: int = 400_000):
+    def __init__(self, path: str, most_pieces: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -35,35 +60,48 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.id_type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.most_pieces = most_pieces
-        self.known: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self._forget()
+
+    def _forget(self) -> None:
+        #: The number of each piece, and where the ids of that number lie in `table`.
+        self.known: dict[str, int] = {}
+        self.starts = self.lengths = np.zeros(0, dtype=np.int64)
+        self.table = np.zeros(0, dtype=self.id_type)
+
+    def _merged(self, piece: str) -> list[int]:
+        """Ids of one piece: in an ordinary piece the merges of the model, else the library's own."""
+        if _FAR.search(piece):
+            return self.tokenizer.encode([piece], is_pretokenized=True, add_special_tokens=False).ids
+        if piece.isascii() and piece.isprintable():
+            line = piece.replace(" ", self.letters[0x20])
+        else:
+            line = piece.encode().decode("latin-1").translate(self.letters)
+        return [token.id for token in self.tokenizer.model.tokenize(line)]
 
     def _learn(self, pieces: list[str]) -> None:
-        for start in range(0, len(pieces), 5000):
-            some = pieces[start:start + 5000]
-            coded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids = np.asarray(coded.ids, dtype=self.id_type)
-            cuts = np.searchsorted(np.asarray(coded.word_ids), np.arange(len(some) + 1)).tolist()
-            raw, width = ids.tobytes(), self.id_type.itemsize
-            for i, piece in enumerate(some):
-                self.known[piece] = raw[cuts[i] * width:cuts[i + 1] * width]
+        found = [self._merged(piece) for piece in pieces]
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter((i for one in found for i in one), self.id_type, int(lengths.sum()))
+        self.starts = np.concatenate([self.starts, len(self.table) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.table = np.concatenate([self.table, ids])
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ends of the texts in it)."""
-        codes, distinct, ends = coded_words(texts, _PIECES.findall)
+        codes, distinct, ends = coded_words(texts, _split)
         if len(self.known) > self.most_pieces:
-            self.known.clear()
+            self._forget()
         new = [p for p in distinct if p not in self.known]
         if new:
             self._learn(new)
-        coded = [self.known[p] for p in distinct]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // self.id_type.itemsize
-        starts = np.cumsum(lengths) - lengths
-        table = np.frombuffer(b"".join(coded), dtype=self.id_type)
         if not len(codes):
-            return table[:0], np.zeros(len(texts), dtype=np.int64)
-        ids = table[ragged(starts[codes], lengths[codes])]
-        upto = np.concatenate([[0], np.cumsum(lengths[codes])])
-        return ids, upto[ends]
+            return self.table[:0], np.zeros(len(texts), dtype=np.int64)
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[codes]
+        lengths = self.lengths[number]
+        ids = self.table[ragged(self.starts[number], lengths)]
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[ends]
 
 
 @functools.lru_cache(maxsize=2)
