@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanery.checks import query
-from gleanery.fixtures import table, view, with_views
+from gleanery.fixtures import spread, table, view, with_views
 from gleanery.operators import documents
-from gleanery.sources.landing import spread
 
 RUN = "2026-01-01T00:00:00+00:00"
 

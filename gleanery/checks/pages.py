@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from gleanery.checks import query
 from gleanery.checks.scalars import SPACES
-from gleanery.fixtures import table
+from gleanery.fixtures import spread, table
 from gleanery.operators import pages
-from gleanery.sources.landing import spread
 
 
 def captured(spark, d):

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from gleanery import vocab
 from gleanery.checks import query
 from gleanery.checks.scalars import cleaned, match_form_sql, version_sql
-from gleanery.fixtures import table, view, with_views
+from gleanery.fixtures import spread, table, view, with_views
 from gleanery.functions import codes, lists, text
 from gleanery.operators import dedupe, files, people, signals, summary, versions
 from gleanery.operators.labels import add_resource_label
-from gleanery.sources.landing import spread
 
 HIT_ORDER = ["term_ord", "start_pos", "pos"]
 FILE_ORDER = ["dataset_number", "part_no", "uri_no"]
@@ -158,9 +157,9 @@ def _(spark, d):
 @query("frontier_remaining", with_views("fx_hits fx_fetch_log", """
     SELECT DISTINCT global_id FROM fx_hits
     WHERE global_id NOT IN (SELECT 'doi:10.17026/' || CAST(project_id AS VARCHAR)
-                            FROM fx_fetch_log WHERE http_status = 413)"""))
+                            FROM fx_fetch_log WHERE http_status = 413 AND project_id % 3 = 0)"""))
 def _(spark, d):
-    done = view(spark, d, "fx_fetch_log").filter("http_status = 413").select(
+    done = view(spark, d, "fx_fetch_log").filter("http_status = 413 AND project_id % 3 = 0").select(
         F.concat(F.lit("doi:10.17026/"), F.col("project_id").cast("string")).alias("global_id"))
     return dedupe.remaining(view(spark, d, "fx_hits").select("global_id").distinct(), done,
                             ["global_id"])
@@ -168,8 +167,19 @@ def _(spark, d):
 
 # ---------------------------------------------------------------- signals
 
-TERMS = sorted(set(vocab.default_terms()))
-_HITS = f"list_filter({sql_list(TERMS)}, lambda t: contains(low, lower(t)))"
+TERM = "[a-z]{9,14}"
+
+
+def dictionary(spark, d) -> list[str]:
+    """The longer words of the passage table, a small one: hundreds of terms that texts hit."""
+    words = table(spark, d, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("t"))
+    return sorted(r.t for r in words.distinct().collect())
+
+
+_TERMS = (f"(SELECT list(t ORDER BY t) FROM (SELECT DISTINCT unnest("
+          f"regexp_extract_all(lower(text), '{TERM}')) AS t FROM benchmark))")
+_HITS = f"list_filter({_TERMS}, lambda t: contains(low, t))"
 _DESC = f"SELECT doc_id, low, {_HITS} AS hits FROM (SELECT doc_id, lower(trim(text)) AS low FROM documents)"
 
 
@@ -181,7 +191,7 @@ _DESC = f"SELECT doc_id, low, {_HITS} AS hits FROM (SELECT doc_id, lower(trim(te
     FROM ({_DESC})""")
 def _(spark, d):
     docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    return signals.description_signal(docs, "text").select(
+    return signals.description_signal(docs, "text", dictionary(spark, d)).select(
         "doc_id", F.col("description_signal").alias("signal"),
         F.array_join("description_terms", "|").alias("terms"),
         F.col("description_reason").alias("reason"))
@@ -191,7 +201,7 @@ def _(spark, d):
     SELECT term, count(*) AS n FROM (SELECT unnest(hits) AS term FROM ({_DESC})) GROUP BY term""")
 def _(spark, d):
     return signals.term_frequency(spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id"),
-                                  "text")
+                                  "text", dictionary(spark, d))
 
 
 @query("word_signal", r"""
@@ -281,7 +291,8 @@ def _(spark, d):
 
 def classified(spark, d, name="fx_projects"):
     projects = signals.description_signal(
-        spread(view(spark, d, name), "project_id"), "description").drop("description")
+        spread(view(spark, d, name), "project_id"), "description", dictionary(spark, d)
+    ).drop("description")
     return signals.classify_projects(
         projects, spread(view(spark, d, "fx_files"), "project_id"), "project_id")
 
@@ -333,16 +344,18 @@ def _(spark, d):
 
 
 @query("download_frontier", with_views("fx_projects", f"""
-    SELECT project_id, page_type, CAST(project_id AS VARCHAR) AS study_id, '1.0' AS version
+    SELECT project_id, page_type, CAST(project_id + 30000 AS VARCHAR) AS study_id,
+           CASE WHEN n_chars % 3 = 0 THEN '1.0' ELSE 'V' || CAST(n_chars % 3 AS VARCHAR) END AS version
     FROM (SELECT *, lower(trim(description)) AS low FROM fx_projects)
     WHERE page_type IN ('icpsr', 'openicpsr', 'datalumos') AND len({_HITS}) > 0"""))
 def _(spark, d):
     projects = signals.description_signal(
-        spread(view(spark, d, "fx_projects"), "project_id"), "description")
-    return (projects.filter(F.col("description_signal")
-                            & F.col("page_type").isin(list(vocab.PAGE_TYPES)))
-            .select("project_id", "page_type", F.col("project_id").cast("string").alias("study_id"),
-                    text.first_non_blank(F.lit(None).cast("string"), F.lit("1.0")).alias("version")))
+        spread(view(spark, d, "fx_projects"), "project_id"), "description", dictionary(spark, d))
+    part = F.col("n_chars") % 3
+    return files.download_frontier(
+        projects.withColumn("study", F.col("project_id") + 30000)
+        .withColumn("version", F.when(part > 0, F.concat(F.lit("V"), part.cast("string"))).otherwise(" ")),
+        "project_id", "study", "version")
 
 
 # ---------------------------------------------------------------- downloads
@@ -382,19 +395,24 @@ def _(spark, d):
                WHEN 'FAILED_TOO_LARGE' THEN 3 ELSE 4 END) WHEN 1 THEN 'SUCCEEDED'
                WHEN 2 THEN 'FAILED_LOGIN_REQUIRED' WHEN 3 THEN 'FAILED_TOO_LARGE'
                ELSE 'FAILED_SERVER_UNRESPONSIVE' END AS final_status, count(*) AS file_rows
-    FROM (SELECT project_id, {_STATUS} AS s FROM fx_fetch_log WHERE http_status <> 200
-          OR fetch_id % 7 = 0) GROUP BY project_id"""))
+    FROM (SELECT project_id, CASE WHEN fetch_id % 7 <> 0 AND http_status = 200 THEN
+                     'FAILED_SERVER_UNRESPONSIVE' ELSE {_STATUS} END AS s FROM fx_fetch_log)
+    GROUP BY project_id"""))
 def _(spark, d):
-    return summary.final_status(
-        fetches(spark, d).filter("http_status <> 200 OR fetch_id % 7 = 0"), ["project_id"])
+    # most fetches answer 200: six of seven of those count as lost on the way
+    lost = (F.col("fetch_id") % 7 != 0) & (F.col("http_status") == 200)
+    log = fetches(spark, d).withColumn("status", F.when(lost, F.lit(
+        "FAILED_SERVER_UNRESPONSIVE")).otherwise(F.col("status")))
+    return summary.final_status(log, ["project_id"])
 
 
 @query("download_results", with_views("fx_fetch_log", f"""
-    SELECT project_id, page_type, final_status, file_rows,
+    SELECT project_id, page_type, study_id, version, final_status, file_rows,
            CASE WHEN final_status <> 'SUCCEEDED' THEN CASE page_type WHEN 'icpsr' THEN 'ICPSR_'
                 WHEN 'openicpsr' THEN 'OpenICPSR_' WHEN 'datalumos' THEN 'DataLumos_' ELSE 'Study_' END
-                || CAST(project_id AS VARCHAR) || '-V1.0.zip' END AS placeholder
-    FROM (SELECT project_id, page_type,
+                || study_id || '-V' || substr(version, 2) || '.0.zip' END AS placeholder
+    FROM (SELECT project_id, page_type, CAST(project_id + 36000 AS VARCHAR) AS study_id,
+                 'V' || CAST(project_id % 3 + 1 AS VARCHAR) AS version,
                  CASE min(CASE s WHEN 'SUCCEEDED' THEN 1 WHEN 'FAILED_LOGIN_REQUIRED' THEN 2
                      WHEN 'FAILED_TOO_LARGE' THEN 3 ELSE 4 END) WHEN 1 THEN 'SUCCEEDED'
                      WHEN 2 THEN 'FAILED_LOGIN_REQUIRED' WHEN 3 THEN 'FAILED_TOO_LARGE'
@@ -407,7 +425,9 @@ def _(spark, d):
 def _(spark, d):
     kinds = F.array(*map(F.lit, ["icpsr", "openicpsr", "datalumos", "web"]))
     log = view(spark, d, "fx_fetch_log").withColumn(
-        "page_type", F.get(kinds, (F.col("project_id") % 4).cast("int")))
+        "page_type", F.get(kinds, (F.col("project_id") % 4).cast("int"))).withColumn(
+        "study_id", (F.col("project_id") + 36000).cast("string")).withColumn(
+        "version", F.concat(F.lit("V"), (F.col("project_id") % 3 + 1).cast("string")))
     return files.download_results(log, ["project_id"])
 
 
@@ -775,10 +795,10 @@ def _(spark, d):
 
 
 @query("row_numbers", """
-    SELECT count(*) AS n, min(o_orderkey) * 0 + 1 AS first_id, count(*) AS last_id,
-           count(*) AS distinct_ids FROM orders""")
+    WITH keyed AS (SELECT row_number() OVER (ORDER BY o_orderkey) + 1000 AS id FROM orders)
+    SELECT id FROM keyed""")
 def _(spark, d):
-    ids = dedupe.row_numbers(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"])
-    return ids.agg(F.count("id").alias("n"), F.min("id").alias("first_id"),
-                   F.max("id").alias("last_id"), F.count_distinct("id").alias("distinct_ids"))
-
+    """All ids after 1000: dense, each once."""
+    ids = dedupe.row_numbers(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
+                             after=1000)
+    return ids.select("id")

@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from gleanery import vocab
 from gleanery.checks import query
-from gleanery.fixtures import table, view, with_views
+from gleanery.fixtures import spread, table, view, with_views
 from gleanery.functions import codes, labels, lists, text, urls
 from gleanery.operators.labels import add_download_name, add_resource_label
-from gleanery.sources.landing import spread
 
 SPACES = (r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
           r"\x{202F}\x{205F}\x{3000}]+")
@@ -426,3 +425,48 @@ def _(spark, d):
             .withColumn("p", codes.publication_parts(paper))
             .select("doc_id", "c.doi", "c.published_date", "c.distributor", "p.year",
                     F.col("p.doi").alias("publication_doi")))
+
+
+# (link, what it resolves to on https://h.org/a/b/c/d/e/f?q=1#t), known by construction
+LINKS = [
+    ("x{k}", "/a/b/c/d/e/x{k}"), ("./x{k}", "/a/b/c/d/e/x{k}"), ("../x{k}", "/a/b/c/d/x{k}"),
+    ("../../x{k}", "/a/b/c/x{k}"), ("../../../x{k}", "/a/b/x{k}"), ("../../../../x{k}", "/a/x{k}"),
+    ("../../../../../x{k}", "/x{k}"), ("../../../../../../../../x{k}", "/x{k}"),
+    ("..", "/a/b/c/d/"), (".", "/a/b/c/d/e/"), ("x{k}/../y/./z/..", "/a/b/c/d/e/y/"),
+    ("/r{k}/../s/./t", "/s/t"), ("/../u{k}", "/u{k}"), ("x{k}?u=/p/../q", "/a/b/c/d/e/x{k}?u=/p/../q"),
+    ("../x{k}#a/../b", "/a/b/c/d/x{k}#a/../b"), ("?n={k}/../m", "/a/b/c/d/e/f?n={k}/../m"),
+    ("x{k}//y", "/a/b/c/d/e/x{k}/y"), ("p/q/r/s/t/u/v/w/../../../../../../../../x{k}", "/a/b/c/d/e/x{k}"),
+]
+
+
+def _link_sql(which: int) -> str:
+    parts = [pair[which].replace("{k}", "' || CAST(c_custkey AS VARCHAR) || '") for pair in LINKS]
+    return "[" + ", ".join(f"'{p}'" for p in parts) + "]"
+
+
+@query("url_resolve", f"""
+    SELECT c_custkey, link, 'https://h.org' || path AS resolved
+    FROM (SELECT c_custkey, unnest({_link_sql(0)}) AS link,
+                 unnest({_link_sql(1)}) AS path FROM customer)""")
+def _(spark, d):
+    key = F.col("c_custkey").cast("string")
+    links = F.array(*[F.concat(*[x for i, part in enumerate(link.split("{k}"))
+                                 for x in ([key] if i else []) + [F.lit(part)]])
+                      for link, _ in LINKS])
+    rows = table(spark, d, "customer").select("c_custkey", F.explode(links).alias("link"))
+    return rows.withColumn("resolved", urls.resolve(
+        F.lit("https://h.org/a/b/c/d/e/f?q=1#t"), "link"))
+
+
+@query("markup_lists", r"""
+    SELECT doc_id, len(list_distinct(items)) AS entries, array_to_string(items, '|') AS joined
+    FROM (SELECT doc_id, list_filter([source || chr(57344) || ' & ' || lang, 'x ' || source, '<' || lang],
+                                     lambda x: x <> '') AS items FROM documents)""")
+def _(spark, d):
+    entries = F.array(
+        F.concat(F.lit("<b>"), F.col("source"), F.lit("\ue000 &amp; "), F.col("lang"), F.lit("</b>")),
+        F.concat(F.lit("x<!-- y --> "), F.col("source")), F.lit(None).cast("string"),
+        F.concat(F.lit("&lt;"), F.col("lang")), F.concat(F.lit("x "), F.col("source"), F.lit("<br/>")))
+    made = table(spark, d, "documents").select("doc_id", lists.clean_markup_list(entries).alias("l"))
+    return made.select("doc_id", F.size("l").cast("bigint").alias("entries"),
+                       F.array_join("l", "|").alias("joined"))

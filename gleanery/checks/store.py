@@ -9,6 +9,7 @@ from gleanery.checks import query
 from gleanery.checks.documents import (
     RUN, dataset_documents, search_responses, version_lists,
 )
+from gleanery.checks.relational import _HITS, dictionary
 from gleanery.fixtures import view, with_views
 from gleanery.functions import codes
 from gleanery.operators import refresh
@@ -186,14 +187,21 @@ def _(spark, d):
     return refresh.read_table(spark, path, HIT)
 
 
-def evaluated(spark, d):
-    """The whole JSON run up to the decision, on documents written from the tables."""
-    config = api_run.ApiConfig(repository_url="https://repository.example.org", run_time=RUN)
+def evaluated(spark, d, part: str = "true", missing: str = "false"):
+    """The whole JSON run up to the decision, on documents written from the tables.
+
+    `part` picks the hits of the run, `missing` those whose document never landed.
+    """
+    config = api_run.ApiConfig(dictionary(spark, d), repository_url="https://repository.example.org",
+                               run_time=RUN)
     datasets = cut_lineage(dataset_documents(spark, d).select("global_id", "body"), "datasets")
+    number = F.substring_index("global_id", "/", -1).cast("bigint")
+    datasets = datasets.withColumn("number", number).filter(part)
     hits = datasets.select("global_id", F.lit("interview").alias("term"))
     lists = version_lists(spark, d).withColumn(
         "project_key", F.concat(F.lit("5"), F.col("project_key").cast("string")).cast("bigint"))
-    return api_run.evaluate(hits, datasets, lists, config)
+    landed = datasets.filter(f"NOT ({missing})").select("global_id", "body")
+    return api_run.evaluate(hits, landed, lists, config)
 
 
 _API = """
@@ -214,8 +222,6 @@ def _(spark, d):
 
 
 def _terms_sql():
-    from gleanery.checks.relational import _HITS
-
     return f"len({_HITS}) > 0"
 
 
@@ -262,3 +268,55 @@ def _(spark, d):
     FROM (SELECT has_files, {_terms_sql()} AS q FROM ({_API}))""")
 def _(spark, d):
     return api_run.run_summary(evaluated(spark, d))[0]
+
+
+@query("landed_failures", f"""
+    SELECT 'No dataset document for doi:10.1/' || CAST(doc_id AS VARCHAR) AS reason,
+           '{RUN}' AS timestamp
+    FROM documents WHERE doc_id % 50 IN (48, 49)""")
+def _(spark, d):
+    """Hits whose document never landed (48) and documents that are no dataset (49)."""
+    failures = evaluated(spark, d, missing="number % 50 = 48")["failures"]
+    return failures.select("reason", "timestamp")
+
+
+def two_runs(spark, d):
+    """The stored tables after two runs over different projects, the second a refresh."""
+    stored = {}
+    for part in ("number % 2 = 0", "number % 2 = 1"):
+        run = evaluated(spark, d, part)
+        log = run["files"].select("file_id", F.lit(200).alias("http_status"))
+        seen, new = api_run.catalogue(run, log, api_run.last_ids(stored))
+        new = {name: cut_lineage(df, name) for name, df in new.items()}
+        kept = {n: df for n, df in stored.items() if n != "failures"}
+        stored = refresh.refresh_tables(kept, seen, new) if kept else new
+    return stored
+
+
+@query("two_run_ids", f"""
+    WITH kept AS (SELECT project_key FROM ({_API}) WHERE has_files AND {_terms_sql()}),
+    people AS (SELECT project_key, unnest(['AUTHOR', 'AUTHOR', 'CONTACT']) AS role FROM kept)
+    SELECT 'files' AS stored, count(*) * 2 AS n, count(*) * 2 AS ids FROM kept
+    UNION ALL SELECT 'person_role', count(*), count(*) FROM people
+    UNION ALL SELECT 'licenses', count(*), count(*) FROM kept""")
+def _(spark, d):
+    """Ids are unique over both runs."""
+    stored = two_runs(spark, d)
+    counts = [stored[n].agg(F.lit(n).alias("stored"), F.count("id").alias("n"),
+                            F.count_distinct("id").alias("ids"))
+              for n in ("files", "person_role", "licenses")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("two_run_files", f"""
+    SELECT project_key, file_name, project_key AS version_project
+    FROM (SELECT project_key, CASE idx WHEN 1 THEN 'Interview ' || CAST(doc_id AS VARCHAR) || '.TXT'
+                 ELSE 'notes.md' END AS file_name
+          FROM ({_API}), (SELECT unnest([1, 2]) AS idx) WHERE has_files AND {_terms_sql()})""")
+def _(spark, d):
+    """Each file joins a version of its own project, whichever run stored it."""
+    stored = two_runs(spark, d)
+    owners = stored["project_versions"].select(
+        "version_key", F.col("project_key").alias("version_project"))
+    return stored["files"].join(owners, "version_key").select(
+        "project_key", "file_name", "version_project")

@@ -157,6 +157,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a table out by key: a small one is a single file that one task would read."""
+    return df.repartition(*keys)
+
+
 def with_views(names: str, body: str) -> str:
     """Checking SQL with the views it needs in front."""
     parts = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names.split())

@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleanery import vocab
+from gleanery.functions import workers
 from gleanery.functions.codes import organisation
-from gleanery.functions.text import as_col, clean_text, collapse_wide, unescape_entities
+from gleanery.functions.text import as_col, clean_text, collapse_wide
 
 
 
@@ -35,18 +36,12 @@ def clean_list(c, drop: bool = False) -> Column:
 
 
 def clean_markup_list(c) -> Column:
-    """`clean_list` for entries that may hold tags and character references.
-
-    Entities are decoded once per row on the joined entries (a Python column
-    function cannot run inside a lambda), then split back.
-    """
-    mark = "\ue000"  # private use, in no text
+    """`clean_list` for entries that may hold tags and character references."""
     bare = F.transform(
         F.coalesce(as_col(c), _empty()),
         lambda x: F.regexp_replace(x, r"(?s)<!--.*?-->|<[/!?a-zA-Z][^>]*>", " "),
     )
-    joined = F.array_join(F.filter(bare, lambda x: x.isNotNull()), mark)
-    items = F.transform(F.split(unescape_entities(joined), mark), collapse_wide)
+    items = F.transform(workers.unescape_each(F.filter(bare, lambda x: x.isNotNull())), collapse_wide)
     return F.array_distinct(
         F.filter(items, lambda x: ~F.lower(x).isin(vocab.DROPPED_VALUES))
     )

@@ -135,27 +135,45 @@ def url_identity(c, kind: str) -> Column:
     return F.rtrim(F.concat(base, F.lit("?"), query), F.lit("?"))
 
 
+def remove_dots(segments: Column) -> Column:
+    """Path segments with `.` and `..` steps carried out; climbing stops at the root."""
+    none = F.array().cast("array<string>")
+    last = F.element_at(segments, -1)
+    steps = F.when(last.isin(".", ".."), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    return F.aggregate(steps, none, lambda done, s: F.when(
+        s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+
+
 def resolve(base, href) -> Column:
-    """Absolute form of a link found on a page."""
+    """Absolute form of a link found on a page.
+
+    A path goes through one fold over its segments, however deep it climbs; query
+    and fragment are no part of it. Links with a scheme or host stay as they are.
+    """
     base, href = as_col(base), F.trim(as_col(href))
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
     path = url_path(base)
-    folder = F.regexp_replace(path, r"[^/]*$", "")
-    joined = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), href)
-    # `./` and `x/../` steps; three passes cover the nesting real links have
-    for _ in range(3):
-        joined = F.regexp_replace(joined, r"/\./", "/")
-        joined = F.regexp_replace(joined, r"/(?!\.\.?/)[^/?#]+/\.\./", "/")
+    folder = F.regexp_replace(path, r"^/+|[^/]*$", "")
+    tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    way = F.substr(href, F.lit(1), F.length(href) - F.length(tail))
+    parts = F.split(F.concat(folder, way), "/")
+    # empty steps inside a relative path fall away, one at its end stays
+    inner = F.filter(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda s: s != "")
+    below = F.concat(inner, F.slice(parts, F.lit(-1), F.lit(1)))
+    rooted = F.split(F.substr(way, F.lit(2)), "/")
+    full = lambda segments: F.concat(
+        origin, F.lit("/"), F.array_join(remove_dots(segments), "/"), tail)
     no_fragment = F.regexp_replace(base, r"#.*$", "")
     return (
         F.when(href == "", base)
         .when(href.rlike(_SCHEME), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("/"), full(rooted))
         .when(href.startswith("#"), F.concat(no_fragment, href))
         .when(href.startswith("?"), F.concat(origin, path, href))
-        .otherwise(F.concat(origin, joined))
+        .otherwise(full(below))
     )
 
 

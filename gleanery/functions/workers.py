@@ -25,6 +25,12 @@ def unescape(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def unescape_each(lists: pd.Series) -> pd.Series:
+    """Character references to characters in every entry of a list without NULL entries."""
+    return lists.map(lambda entries: [html.unescape(x) for x in entries], na_action="ignore")
+
+
 def _automaton(terms: list[str]):
     """Multi-pattern matcher whose values are the positions of equal terms."""
     import ahocorasick
@@ -60,25 +66,6 @@ def term_finder(terms: list[str]):
     return find
 
 
-def term_mask(terms: list[str]):
-    """Like `term_finder`, with the answer as one bit per term (63 terms at most)."""
-    @F.pandas_udf(T.LongType())
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = _automaton(terms)
-
-        def bits_of(text):
-            bits = 0
-            for _, found in automaton.iter(text or ""):
-                for position in found:
-                    bits |= 1 << position
-            return bits
-
-        for batch in batches:
-            yield batch.map(bits_of).astype("int64")
-
-    return find
-
-
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 ELEMENT = T.StructType([

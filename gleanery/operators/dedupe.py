@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.session import cut_lineage
+
 PAGES_PER_BLOCK = 1024
 
 
@@ -83,55 +85,64 @@ def new_and_duplicate_counts(
     return joined.withColumn("new_entries", F.coalesce("new_entries", F.lit(0).cast("bigint")))
 
 
-def running_total(df: DataFrame, scope: list[str], page: str, value: str, rows: int) -> DataFrame:
-    """Sum of `value` over the earlier pages of a scope, as column `before`.
+def search_pages(
+    hits: DataFrame, scope: list[str], page: str, pos: str, identity: list[str], total: str,
+) -> DataFrame:
+    """One row per page of search hits: its size, what is new on it, and its digest.
 
-    Two levels keep every window small: totals of blocks of pages first, then
-    the pages inside one block.
+    `new_entries` are the entries of studies that no earlier page had,
+    `new_studies` counts those studies once. Two 64-bit digests over place and
+    identity tell equal pages; they merge across partitions, so no page is ever
+    collected. One scan and three shuffles, each behind a map-side combination.
     """
-    block = F.floor(F.col(page) / F.lit(rows * PAGES_PER_BLOCK)).cast("bigint")
-    paged = df.withColumn("_b", block)
-    earlier = Window.partitionBy(*scope).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        paged.groupBy(*scope, "_b").agg(F.sum(value).alias("_s"))
-        .select(*scope, "_b", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy(*scope, "_b").orderBy(page).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return (
-        paged.join(offsets, [*scope, "_b"])
-        .withColumn("before", F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .drop("_b", "_offset")
-    )
+    ident = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity])
+    none = F.lit(0).cast("bigint")
+    entries = hits.groupBy(*scope, page, *identity).agg(
+        F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64(F.col(pos), ident)).alias("_d1"),
+        F.bit_xor(F.xxhash64(ident, F.col(pos), F.lit(1))).alias("_d2"),
+        F.first(total, ignorenulls=True).alias("_total"))
+    first = entries.groupBy(*scope, *identity).agg(
+        F.min(F.struct(F.col(page), F.col("_n"))).alias("_f"))
+    rows = entries.select(
+        *scope, page, "_n", "_d1", "_d2", "_total", none.alias("_new"), none.alias("_studies"),
+    ).unionByName(first.select(
+        *scope, F.col(f"_f.{page}").alias(page), none.alias("_n"), none.alias("_d1"),
+        none.alias("_d2"), F.lit(None).cast(hits.schema[total].dataType).alias("_total"),
+        F.col("_f._n").alias("_new"), F.lit(1).cast("bigint").alias("_studies")))
+    return rows.groupBy(*scope, page).agg(
+        F.sum("_n").alias("entries"), F.sum("_new").alias("new_entries"),
+        F.sum("_studies").alias("new_studies"), F.bit_xor("_d1").alias("_d1"),
+        F.bit_xor("_d2").alias("_d2"), F.first("_total", ignorenulls=True).alias("_total"))
 
 
-def page_guards(
-    hits: DataFrame, scope: list[str], page: str, pos: str, identity: list[str], total: str,
-    rows: int,
-) -> DataFrame:
-    """Where paging of each scope ends, and why.
+def guard_pages(pages: DataFrame, scope: list[str], page: str, rows: int) -> DataFrame:
+    """Where paging of each scope ends, and why, from one row per page.
 
     Paging stops at the first page that repeats an earlier page exactly, or
     (past the start) brings no new study, or comes after the reported total was
-    reached. A page is recognised by two 64-bit digests over place and identity
-    that merge across partitions, so no page is ever collected.
+    reached. Running totals use two levels: windows hold the pages of a block,
+    or the blocks of a scope.
     """
-    ident = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity])
-    digests = hits.groupBy(*scope, page).agg(
-        F.bit_xor(F.xxhash64(F.col(pos), ident)).alias("_d1"),
-        F.bit_xor(F.xxhash64(ident, F.col(pos), F.lit(1))).alias("_d2"),
-        F.first(total, ignorenulls=True).alias("_total"),
-    )
-    pages = new_and_duplicate_counts(hits, scope, page, identity).join(digests, [*scope, page])
-    pages = running_total(pages, scope, page, "new_entries", rows)
-    seen = pages.groupBy(*scope, "_d1", "_d2", "entries").agg(F.min(page).alias("_first"))
-    pages = pages.join(seen, [*scope, "_d1", "_d2", "entries"])
+    blocked = pages.withColumn(
+        "_b", F.floor(F.col(page) / F.lit(rows * PAGES_PER_BLOCK)).cast("bigint"))
+    inside = Window.partitionBy(*scope, "_b").orderBy(page).rowsBetween(
+        Window.unboundedPreceding, -1)
+    blocks = Window.partitionBy(*scope).orderBy("_b")
+    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    whole = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = blocked.groupBy(*scope, "_b").agg(
+        F.sum("new_entries").alias("_s"), F.min_by("_total", page).alias("_t")).select(
+        *scope, "_b", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_offset"),
+        F.first("_t").over(whole).alias("reported_total"))
+    same = Window.partitionBy(*scope, "_d1", "_d2", "entries")
+    placed = (
+        blocked.withColumn("_inside", F.coalesce(F.sum("new_entries").over(inside), F.lit(0)))
+        .join(offsets, [*scope, "_b"]).withColumn("_first", F.min(page).over(same)))
     repeated = F.col(page) > F.col("_first")
     stale = (F.col(page) > 0) & (F.col("new_entries") == 0)
-    reported = pages.groupBy(*scope).agg(F.min_by("_total", page).alias("reported_total"))
-    pages = pages.join(reported, scope)
-    complete = (F.col("reported_total") > 0) & (F.col("before") >= F.col("reported_total"))
-    stops = pages.groupBy(*scope, "reported_total").agg(
+    before = F.col("_offset") + F.col("_inside")
+    complete = (F.col("reported_total") > 0) & (before >= F.col("reported_total"))
+    stops = placed.groupBy(*scope, "reported_total").agg(
         F.min(F.when(repeated, F.col(page))).alias("_repeat"),
         F.min(F.when(stale, F.col(page))).alias("_stale"),
         F.min(F.when(complete, F.col(page))).alias("_complete"),
@@ -148,6 +159,15 @@ def page_guards(
     )
 
 
+def page_guards(
+    hits: DataFrame, scope: list[str], page: str, pos: str, identity: list[str], total: str,
+    rows: int,
+) -> DataFrame:
+    """`guard_pages` of search hits; the small frame of pages is written once in between."""
+    pages = cut_lineage(search_pages(hits, scope, page, pos, identity, total), "pages")
+    return guard_pages(pages, scope, page, rows)
+
+
 def keep_until_stop(hits: DataFrame, guards: DataFrame, scope: list[str], page: str) -> DataFrame:
     """Hits on the pages before the stop of their scope."""
     stops = guards.select(*scope, "stop_start")
@@ -162,15 +182,18 @@ def search_summary(
     hits: DataFrame, scope: list[str], page: str, pos: str, identity: list[str], total: str,
     rows: int,
 ) -> DataFrame:
-    """Totals of each search: reported, extracted, pages read, and the guard's state."""
-    guards = page_guards(hits, scope, page, pos, identity, total, rows)
-    kept = keep_until_stop(hits, guards, scope, page)
-    studies = kept.select(*scope, *identity).distinct().groupBy(*scope).agg(
-        F.count(F.lit(1)).alias("studies_extracted"))
-    pages = kept.select(*scope, page).distinct().groupBy(*scope).agg(
-        F.count(F.lit(1)).alias("pages_fetched"))
+    """Totals of each search: reported, extracted, pages read, and the guard's state.
+
+    A study is extracted when the first page that has it was read, so all
+    totals come from the frame of pages. A search that stops at once has no row.
+    """
+    pages = cut_lineage(search_pages(hits, scope, page, pos, identity, total), "pages")
+    guards = guard_pages(pages, scope, page, rows)
+    read = keep_until_stop(pages.select(*scope, page, "new_studies"), guards, scope, page)
+    totals = read.groupBy(*scope).agg(
+        F.sum("new_studies").alias("studies_extracted"), F.count(F.lit(1)).alias("pages_fetched"))
     return (
-        guards.join(studies, scope).join(pages, scope)
+        guards.join(totals, scope)
         .select(*scope,
                 F.when(F.col("reported_total") > 0, F.col("reported_total"))
                 .otherwise(F.col("studies_extracted")).alias("total_studies"),
@@ -200,8 +223,13 @@ def remaining(candidates: DataFrame, done: DataFrame, keys: list[str]) -> DataFr
     return candidates.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def row_numbers(df: DataFrame, keys: list[str], buckets: int = 65_536) -> DataFrame:
-    """Dense ids 1..n as column `id`, the same on every run.
+def row_numbers(
+    df: DataFrame, keys: list[str], buckets: int = 65_536, after: int = 0
+) -> DataFrame:
+    """Dense ids after+1..after+n as column `id`, the same on every run.
+
+    `after` is the largest id a stored table already holds, so that ids stay
+    unique over all runs.
 
     Rows are spread over hash buckets by their natural key, numbered inside a
     bucket, and shifted by the sizes of the buckets before it. No sort sees more
@@ -215,7 +243,7 @@ def row_numbers(df: DataFrame, keys: list[str], buckets: int = 65_536) -> DataFr
     inside = Window.partitionBy("_b").orderBy(*keys)
     return (
         spread.join(offsets, "_b")
-        .withColumn("id", F.col("_offset") + F.row_number().over(inside))
+        .withColumn("id", F.lit(after) + F.col("_offset") + F.row_number().over(inside))
         .drop("_b", "_offset")
     )
 

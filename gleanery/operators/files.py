@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from gleanery import vocab
 from gleanery.functions import codes
-from gleanery.functions.text import clean_text, first_number, safe_file, text_or_null
+from gleanery.functions.text import (
+    clean_text, first_non_blank, first_number, safe_file, text_or_null,
+)
 from gleanery.functions.urls import url_identity
 from gleanery.operators.dedupe import first_wins, merge_duplicates
 from gleanery.operators.labels import add_download_name
@@ -215,11 +217,14 @@ def file_states(files: DataFrame, log: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def download_results(log: DataFrame, keys: list[str]) -> DataFrame:
-    """Outcome of each study's download from its fetch log, placeholder row included.
+def download_results(
+    log: DataFrame, keys: list[str], study: str = "study_id", version: str = "version"
+) -> DataFrame:
+    """Outcome of each study version's download from its fetch log, placeholder row included.
 
     Page types without a public download count as login required, unknown ones
-    as unresponsive; a study without a success gets one placeholder file row.
+    as unresponsive; a study without a success gets one placeholder file row,
+    named after the study id and version of the log.
     """
     kind = F.lower(clean_text("page_type"))
     state = (
@@ -228,10 +233,22 @@ def download_results(log: DataFrame, keys: list[str]) -> DataFrame:
         .otherwise(codes.http_status_code("http_status", "size_bytes"))
     )
     rows = log.withColumn("status", state)
-    done = final_status(rows, [*keys, "page_type"])
+    done = final_status(rows, [*keys, "page_type", study, version])
     failed = F.col("final_status") != "SUCCEEDED"
     return done.withColumn(
-        "placeholder", F.when(failed, codes.package_name("page_type", keys[0], F.lit("1.0"))))
+        "placeholder", F.when(failed, codes.package_name("page_type", study, version)))
+
+
+def download_frontier(projects: DataFrame, key: str, study: str, version: str) -> DataFrame:
+    """Request rows of the projects to download: public page types with a positive signal.
+
+    Needs description_signal and page_type; a blank version asks for 1.0.
+    """
+    wanted = F.coalesce("description_signal", F.lit(False)) & F.col("page_type").isin(
+        list(vocab.PAGE_TYPES))
+    return projects.filter(wanted).select(
+        key, "page_type", F.col(study).cast("string").alias("study_id"),
+        first_non_blank(version, F.lit("1.0")).alias("version"))
 
 
 def package_formats(offered) -> Column:

@@ -34,14 +34,17 @@ def _names(positions: Column, terms: list[str]) -> Column:
 
 
 def description_signal(
-    df: DataFrame, column: str, terms: list[str] | None = None, engine: str = "automaton"
+    df: DataFrame, column: str, terms: list[str], engine: str = "automaton"
 ) -> DataFrame:
     """Add description_signal, description_terms and description_reason.
 
+    `terms` is the whole dictionary (`sources.landing.read_terms`): which projects
+    qualify depends on it, so there is no built-in one.
+
     The reason names the first ten matching terms in dictionary order; the list
     column holds all of them.
     """
-    terms = sorted(set(vocab.default_terms() if terms is None else terms))
+    terms = sorted(set(terms))
     found = (
         df.withColumn("_text", fold(column))
         .withColumn("_found", term_positions(F.col("_text"), terms, engine))
@@ -72,26 +75,30 @@ def word_signal(df: DataFrame, column: str, terms: list[str]) -> DataFrame:
     )
 
 
-def term_frequency(df: DataFrame, column: str, terms: list[str] | None = None) -> DataFrame:
+def term_frequency(df: DataFrame, column: str, terms: list[str]) -> DataFrame:
     """In how many texts does each term occur?"""
     hits = description_signal(df.select(column), column, terms)
     return (hits.select(F.explode("description_terms").alias("term"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _mask(hay: Column, words: list[str], engine: str) -> Column:
-    """One bit per word that the text contains."""
-    if len(words) > 63:
-        raise ValueError("a mask holds at most 63 words")
-    if engine == "automaton":
-        return workers.term_mask([w.lower() for w in words])(hay)
-    entries = F.array(*[F.struct(F.lit(w.lower()).alias("w"), F.lit(1 << i).cast("bigint").alias("b"))
-                        for i, w in enumerate(words)])
-    return F.aggregate(F.filter(entries, lambda e: F.contains(hay, e["w"])),
-                       F.lit(0).cast("bigint"), lambda a, e: a.bitwiseOR(e["b"]))
+MASK_WORDS = 62
+
+
+def _masks(words: list[str]) -> list[list[str]]:
+    """The words in groups that fit the bits of one number."""
+    return [words[i:i + MASK_WORDS] for i in range(0, len(words), MASK_WORDS)]
+
+
+def _bits(tests: list[Column]) -> Column:
+    """One bit for each test that holds."""
+    mask = F.lit(0).cast("bigint")
+    for i, test in enumerate(tests):
+        mask = mask.bitwiseOR(F.when(test, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
+    return mask
 
 
-def _value_mask(value: Column, words: list[str]) -> Column:
+def _bit_of(value: Column, words: list[str]) -> Column:
     """The bit of the one word a value equals."""
     table = F.create_map(*[x for i, w in enumerate(words)
                            for x in (F.lit(w), F.lit(1 << i).cast("bigint"))])
@@ -99,50 +106,55 @@ def _value_mask(value: Column, words: list[str]) -> Column:
 
 
 def _decode(mask: Column, words: list[str]) -> Column:
-    """The words of a mask, sorted."""
-    pairs = sorted((w, 1 << i) for i, w in enumerate(words))
+    """The words of a mask."""
     return F.array_compact(F.array(*[
-        F.when(mask.bitwiseAND(F.lit(b).cast("bigint")) != 0, F.lit(w)) for w, b in pairs]))
+        F.when(mask.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(w))
+        for i, w in enumerate(words)]))
 
 
 def file_signals(
-    files: DataFrame, keys: list[str], name: str = "file_name", engine: str = "automaton"
+    files: DataFrame, keys: list[str], name: str = "file_name",
+    extensions: list[str] | None = None, words: list[str] | None = None,
 ) -> DataFrame:
     """Per key: do file extensions or file names give qualitative evidence, and which?
 
-    Evidence travels as bit masks merged with `bit_or`, so the state of a
-    project is three numbers however many files it has.
+    Evidence travels as bit masks merged with `bit_or`, so the state of a project
+    is a few numbers however many files it has. Both word lists may have any
+    length; names are short, so words are tested one by one inside the JVM.
     """
-    half = len(vocab.QUALITATIVE_EXTENSIONS) // 2
-    first, second = vocab.QUALITATIVE_EXTENSIONS[:half], vocab.QUALITATIVE_EXTENSIONS[half:]
-    marked = files.select(
-        *keys, file_extension(name).alias("_e"),
-        _mask(F.lower(name), vocab.FILENAME_TERMS, engine).alias("_k"))
+    extensions = vocab.QUALITATIVE_EXTENSIONS if extensions is None else extensions
+    words = vocab.FILENAME_TERMS if words is None else words
+    low, ending = F.lower(F.coalesce(F.col(name), F.lit(""))), F.col("_e")
+    by_ending, by_word = _masks(list(dict.fromkeys(extensions))), _masks(list(dict.fromkeys(words)))
+    marked = files.select(*keys, file_extension(name).alias("_e"), low.alias("_n"))
     merged = marked.groupBy(*keys).agg(
-        F.bit_or(_value_mask(F.col("_e"), first)).alias("_m1"),
-        F.bit_or(_value_mask(F.col("_e"), second)).alias("_m2"),
-        F.bit_or(F.coalesce("_k", F.lit(0).cast("bigint"))).alias("_m3"),
+        *[F.bit_or(_bit_of(ending, group)).alias(f"_x{i}") for i, group in enumerate(by_ending)],
+        *[F.bit_or(_bits([F.contains(F.col("_n"), F.lit(w.lower())) for w in group])).alias(f"_w{i}")
+          for i, group in enumerate(by_word)],
         F.count(F.lit(1)).alias("file_count"),
     )
+    seen = lambda letter, groups: F.sort_array(F.concat(
+        F.array().cast("array<string>"),
+        *[_decode(F.col(f"_{letter}{i}"), group) for i, group in enumerate(groups)]))
     named = (
         merged
-        .withColumn("extensions", F.sort_array(F.concat(
-            _decode(F.col("_m1"), first), _decode(F.col("_m2"), second))))
-        .withColumn("filename_terms", _decode(F.col("_m3"), vocab.FILENAME_TERMS))
+        .withColumn("extensions", seen("x", by_ending))
+        .withColumn("filename_terms", seen("w", by_word))
         .withColumn("extension_found", F.size("extensions") > 0)
         .withColumn("filename_found", F.size("filename_terms") > 0)
     )
     ext = F.array_join("extensions", ", ")
-    words = F.array_join("filename_terms", ", ")
+    named_words = F.array_join("filename_terms", ", ")
     e, k = F.col("extension_found"), F.col("filename_found")
     reason = (
         F.when(e & k, F.concat(F.lit("Matched extension(s): "), ext,
-                               F.lit("; matched filename keyword(s): "), words))
+                               F.lit("; matched filename keyword(s): "), named_words))
         .when(e, F.concat(F.lit("Matched extension(s): "), ext))
-        .when(k, F.concat(F.lit("Matched filename keyword(s): "), words))
+        .when(k, F.concat(F.lit("Matched filename keyword(s): "), named_words))
         .otherwise(F.lit("No qualitative file signal found"))
     )
-    return named.withColumn("file_reason", reason).drop("_m1", "_m2", "_m3")
+    return named.withColumn("file_reason", reason).drop(
+        *[f"_x{i}" for i in range(len(by_ending))], *[f"_w{i}" for i in range(len(by_word))])
 
 
 def phrase_matches(text: Column, phrases: list[str]) -> Column:

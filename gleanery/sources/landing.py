@@ -5,37 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give processor-bound work one partition per core when the input has too few files.
-
-    A small input often is one file with one row group, which only one task can
-    read. An input with at least as many files as cores is left alone, so at
-    scale this adds no shuffle. `keys` should be close to unique.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df._jdf.inputFiles())  # counted in the JVM, the names stay there
-    return df.repartition(cores, *keys) if 0 < files < cores else df
-
-
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses as JSON lines: request columns and the raw `body`."""
     return spark.read.schema(
         "term string, term_ord bigint, start_pos bigint, global_id string, body string").json(path)
 
 
-def read_terms(spark: SparkSession, path: str) -> list[str]:
+def read_terms(spark: SparkSession, path: str, most: int = 1_000_000) -> list[str]:
     """Description terms from a dictionary table (CSV: list_name, lang, term, ord).
 
-    A dictionary is configuration: a few hundred to a few ten thousand words
-    that every task needs. Anything larger is refused rather than collected.
+    A dictionary is configuration that every task needs. One with more than
+    `most` terms is refused rather than collected.
     """
-    limit = 100_000
     rows = (
         spark.read.option("header", True)
         .schema("list_name string, lang string, term string, ord int").csv(path)
-        .filter("term IS NOT NULL AND trim(term) <> ''").select("term").distinct().limit(limit + 1)
+        .filter("term IS NOT NULL AND trim(term) <> ''").select("term").distinct().limit(most + 1)
         .collect()
     )
-    if len(rows) > limit:
-        raise ValueError(f"dictionary has more than {limit} terms")
+    if len(rows) > most:
+        raise ValueError(f"dictionary has more than {most} terms")
     return sorted(r.term for r in rows)

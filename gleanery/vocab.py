@@ -1,101 +1,14 @@
 """Word lists, lookup tables and constants the results depend on.
 
 Everything here is a fixed value, stated as text in its natural order. The
-long bilingual harvest dictionary is not part of the code: it is a table the
-caller supplies (`sources.landing.read_terms`); the lists below are the
-built-in English method vocabulary used when no table is given.
+harvest's dictionaries of description and search terms are not part of the
+code: they are tables the caller supplies (`sources.landing.read_terms`).
 """
 
-# English method vocabulary, by section.
-CORE = [
-    "qualitative", "qualitative data", "qualitative research", "qualitative analysis",
-    "qualitative study", "qualitative inquiry", "qualitative methods", "qualitative methodology",
-    "QDA", "qualitative data analysis", "CAQDAS", "computer-assisted qualitative data analysis",
-    "computer-assisted qualitative", "qualitative data analysis file", "QDA project",
-    "QDA Codebook", "QDA export", "REFI-QDA", "REFI project", "Qualitative Data Exchange",
-    "QDE format", "interoperable QDA", "QDA project exchange",
-]
-INTERVIEW = [
-    "interview", "interviews", "in-depth interview", "semi-structured interview",
-    "unstructured interview", "structured interview", "life history interview",
-    "biographical interview", "narrative interview", "oral history", "oral histories",
-    "interview transcript", "interview transcripts", "interview data", "interview recording",
-    "respondent", "verbatim transcript", "verbatim", "plain text transcript",
-    "interview text file", "interview audio file", "oral history audio", "interview protocol",
-    "topic guide", "interview guide",
-]
-GROUP = [
-    "focus group", "focus groups", "group discussion", "group interview",
-    "participatory research", "participatory action research", "PAR", "co-production",
-    "community-based research",
-]
-ETHNOGRAPHY = [
-    "ethnography", "ethnographic", "ethnographic fieldwork", "fieldwork", "field notes",
-    "fieldnotes", "observation", "participant observation", "non-participant observation",
-    "observational data", "video observation", "diary", "diaries", "research diary",
-    "fieldwork diary", "logbook", "visual methods data", "video ethnography",
-]
-NARRATIVE = [
-    "narrative", "narratives", "narrative analysis", "discourse analysis", "discourse",
-    "conversation analysis", "content analysis", "textual analysis", "document analysis",
-    "written accounts", "personal accounts", "life story", "life stories", "autobiography",
-    "autobiographical", "biography", "biographical", "critical discourse analysis", "CDA",
-]
-FRAMEWORKS = [
-    "grounded theory", "thematic analysis", "thematic coding", "phenomenology",
-    "phenomenological", "interpretive phenomenological analysis", "IPA", "framework analysis",
-    "constant comparative method", "hermeneutics", "hermeneutical", "interpretive",
-    "constructivist", "constructivism", "phenomenography",
-]
-DATA_TYPES = [
-    "transcript", "transcripts", "transcription", "audio recording", "audio data",
-    "video recording", "video data", "image data", "photographs", "visual data", "text data",
-    "written data", "open-ended responses", "open-ended questions", "free text", "codebook",
-    "coding scheme", "codes", "memos", "analytic memos", "coded sources", "coded segments",
-    "coding tree", "node hierarchy", "code system", "code frequency", "case node",
-    "source file", "external source", "internal source", "primary document",
-    "hermeneutic unit", "network view", "memo link",
-]
-SOFTWARE = [
-    "NVivo", "NVivo project file", "ATLAS.ti", "ATLAS.ti copy bundle", "MAXQDA",
-    "MAXQDA project", "Dedoose", "Quirkos", "Transana", "HyperRESEARCH", "JASP",
-]
-APPLIED = [
-    "patient experience", "lived experience", "wellbeing", "mental health",
-    "illness narrative", "healthcare", "poverty", "inequality", "labour", "work experience",
-    "family", "childhood", "youth", "ageing", "religion", "community",
-]
-ACCESS = [
-    "open access", "Creative Commons", "CC BY", "CC BY-SA", "CC0", "public domain",
-    "freely downloadable", "no restrictions", "anonymous data", "anonymised data",
-    "anonymised transcripts", "informed consent", "restricted use", "access request",
-]
-TERM_SECTIONS = {
-    "core": CORE, "interview": INTERVIEW, "group": GROUP, "ethnography": ETHNOGRAPHY,
-    "narrative": NARRATIVE, "frameworks": FRAMEWORKS, "data_types": DATA_TYPES,
-    "software": SOFTWARE, "applied": APPLIED, "access": ACCESS,
-}
-
-
-def default_terms() -> list[str]:
-    """Built-in description terms, distinct, in code-point order."""
-    return sorted({term for section in TERM_SECTIONS.values() for term in section})
-
-
-# Core search terms (compounds are generated by `search_terms`).
-SEARCH_SEEDS = [
-    "qualitative", "interview", "transcript", "focus group", "ethnography", "oral history",
-    "narrative", "grounded theory", "thematic analysis", "phenomenology", "life story",
-    "NVivo", "ATLAS.ti", "MAXQDA", "CAQDAS", "REFI-QDA", "codebook", "verbatim", "fieldwork",
-    "field notes", "mixed methods", "case study", "lived experience", "discourse analysis",
-    "content analysis", "participatory research",
-]
-
 
-def search_terms(seeds=None, heads=(), evidence=()) -> list[str]:
+def search_terms(seeds, heads=(), evidence=()) -> list[str]:
     """Ordered distinct search terms: the seeds, then every head with every evidence word."""
-    base = list(SEARCH_SEEDS if seeds is None else seeds)
-    return list(dict.fromkeys(base + [f"{h} {e}" for h in heads for e in evidence]))
+    return list(dict.fromkeys([*seeds, *(f"{h} {e}" for h in heads for e in evidence)]))
 
 
 # File extensions that count as qualitative evidence.

@@ -71,9 +71,21 @@ def test_no_stop_keeps_everything(spark):
 
 def test_running_total_crosses_blocks(spark, monkeypatch):
     monkeypatch.setattr(dedupe, "PAGES_PER_BLOCK", 2)
-    df = spark.range(7).select(F.lit("t").alias("k"), (F.col("id") * 10).alias("page"), F.lit(1).alias("v"))
-    got = dedupe.running_total(df, ["k"], "page", "v", 10)
-    assert [r.before for r in got.orderBy("page").collect()] == list(range(7))
+    df = hits(spark, [[f"s{i}"] for i in range(9)], 6)
+    got = guard(df)
+    assert (got.stop_start, got.guard_triggered, got.reported_total) == (120, False, 6)
+    got = dedupe.search_summary(df, ["term"], "start", "pos", ["id"], "total", 20).first()
+    assert (got.studies_extracted, got.pages_fetched, got.total_studies) == (6, 6, 6)
+
+
+def test_guards_scan_once_and_shuffle_little(spark):
+    pages = dedupe.search_pages(hits(spark, [["a"], ["b"]], 9), ["term"], "start", "pos", ["id"], "total")
+    pages.collect()
+    plan = pages._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") <= 6 and "Python" not in plan
+    guards = dedupe.guard_pages(dedupe.cut_lineage(pages), ["term"], "start", 20)
+    plan = guards._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 6
 
 
 def test_row_numbers_are_dense_and_stable(spark):
@@ -86,8 +98,9 @@ def test_row_numbers_are_dense_and_stable(spark):
 def test_description_signal_engines_agree(spark):
     texts = ["In-depth INTERVIEW study", "particle", "nothing", "", None, "cc by-sa atlas.ti"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    fast = signals.description_signal(df, "t")
-    slow = signals.description_signal(df, "t", engine="builtin")
+    terms = ["interview", "in-depth interview", "PAR", "CC BY", "CC BY-SA", "ATLAS.ti", "PAR"]
+    fast = signals.description_signal(df, "t", terms)
+    slow = signals.description_signal(df, "t", terms, engine="builtin")
     assert rows(fast, "i") == rows(slow, "i")
     got = {r.i: r for r in fast.collect()}
     assert got[0].description_terms == ["in-depth interview", "interview"]
@@ -108,11 +121,18 @@ def test_word_signal_needs_whole_words(spark):
     assert [r.description_signal for r in signals.word_signal(df, "t", ["PAR"]).collect()] == [False, True]
 
 
-def test_file_signal_engines_agree(spark):
+def test_file_words_may_be_many(spark):
+    df = spark.createDataFrame([(1, f"w{i:03d}.e{i:03d}") for i in range(0, 200, 7)], "p int, file_name string")
+    got = signals.file_signals(df, ["p"], extensions=[f"e{i:03d}" for i in range(200)],
+                               words=[f"w{i:03d}" for i in range(200)]).first()
+    want = range(0, 200, 7)
+    assert got.filename_terms == [f"w{i:03d}" for i in want] and got.extensions == [f"e{i:03d}" for i in want]
+
+
+def test_file_signal(spark):
     df = spark.createDataFrame(
         [(1, "Interview_1.mp3"), (1, "x.qdpx"), (2, "a.xyz"), (3, "nvivo.bin"), (3, None)], "p int, file_name string")
     fast = signals.file_signals(df, ["p"])
-    assert rows(fast, "p") == rows(signals.file_signals(df, ["p"], engine="builtin"), "p")
     got = {r.p: r for r in fast.collect()}
     assert got[1].file_reason == "Matched extension(s): mp3, qdpx; matched filename keyword(s): interview"
     assert got[2].file_reason == "No qualitative file signal found"

@@ -201,4 +201,3 @@ def test_vocabulary():
     assert len(vocab.QUALITATIVE_EXTENSIONS) == len(set(vocab.QUALITATIVE_EXTENSIONS)) == 76
     assert len(vocab.FILENAME_TERMS) == len(set(vocab.FILENAME_TERMS)) == 46
     assert vocab.search_terms(["a"], ["x", "a"], ["1", "2"]) == ["a", "x 1", "x 2", "a 1", "a 2"]
-    assert vocab.search_terms()[:2] == ["qualitative", "interview"]

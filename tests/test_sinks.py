@@ -47,10 +47,3 @@ def test_dictionary_and_responses(spark, tmp_path):
     assert landing.read_responses(spark, str(tmp_path / "r.json")).first().term == "t"
 
 
-def test_spread_leaves_many_files_alone(spark, tmp_path):
-    many, few = str(tmp_path / "many"), str(tmp_path / "few")
-    spark.range(100).repartition(9).write.parquet(many)
-    spark.range(100).coalesce(1).write.parquet(few)
-    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan(landing.spread(spark.read.parquet(many), "id"))
-    assert "Exchange" in plan(landing.spread(spark.read.parquet(few), "id"))
