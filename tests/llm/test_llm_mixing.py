@@ -60,7 +60,7 @@ def test_mixed_rows_repeat_and_keep_columns(spark):
     got = mixing.mixed_rows(docs, mixing.words_in(F.col("text")))
     assert got.columns == docs.columns
     counts = collections.Counter(r.source for r in got.collect())
-    assert counts == {"a": 20, "b": 8}  # of 300 words, 5/7 to a stops at 200, the rest is 100: 85.7 to b
+    assert counts == {"a": 20, "b": 10}  # of 300 words 5/7 are a's, which stops at 200; b has the rest
 
 
 def test_mix_of_nothing(spark):
