@@ -66,13 +66,17 @@ def term_finder(terms: list[str]):
     return find
 
 
-VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split())
+# Elements without an end tag.
+VOID = frozenset([
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
+    "track", "wbr",
+])
 ELEMENT = T.StructType([
     T.StructField("ord", T.IntegerType()), T.StructField("parent", T.IntegerType()),
     T.StructField("last", T.IntegerType()), T.StructField("tag", T.StringType()),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("t0", T.IntegerType()), T.StructField("t1", T.IntegerType()),
+    T.StructField("up", T.ArrayType(T.IntegerType())),
 ])
 PAGE_TREE = T.StructType([
     T.StructField("elems", T.ArrayType(ELEMENT)),
@@ -86,7 +90,7 @@ def _tree(markup):
     """Elements in document order and the text nodes between them.
 
     An element covers the text nodes t0 up to t1 and the elements up to
-    `last`; `owners` holds the element each text node sits in directly. Script
+    `last`; `up` holds the elements around it, outermost first; `owners` holds the element each text node sits in directly. Script
     and style bodies are no text; script bodies are returned on their own.
     """
     from html.parser import HTMLParser
@@ -96,7 +100,8 @@ def _tree(markup):
     class Reader(HTMLParser):
         def handle_starttag(self, tag, attrs):
             here = [len(elems), stack[-1][0] if stack else -1, len(elems), tag,
-                    {k: v or "" for k, v in attrs}, len(texts), len(texts)]
+                    {k: v or "" for k, v in attrs}, len(texts), len(texts),
+                    [e[0] for e in stack]]
             elems.append(here)
             if tag not in VOID:
                 stack.append(here)

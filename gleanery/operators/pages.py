@@ -51,10 +51,20 @@ def inside(e: Column, outer: Column) -> Column:
     return (e["ord"] > outer["ord"]) & (e["ord"] <= outer["last"])
 
 
+def between(first: Column, last: Column) -> Column:
+    """Elements `first` to `last` in document order; `ord` is the place in the array."""
+    return F.slice(F.col("elems"), first + 1, F.greatest(last - first + 1, F.lit(0)))
+
+
+def below(outer: Column, test) -> Column:
+    """Elements inside another one that pass a test, without a look at any other element."""
+    return F.filter(between(outer["ord"] + 1, outer["last"]), test)
+
+
 def nearest(e: Column, tags: list[str]) -> Column:
     """Closest enclosing element of one of the tags, NULL if there is none."""
-    around = F.filter("elems", lambda o: o["tag"].isin(tags) & (o["ord"] < e["ord"])
-                      & (e["ord"] <= o["last"]))
+    around = F.filter(F.transform(e["up"], lambda i: F.get(F.col("elems"), i)),
+                      lambda o: o["tag"].isin(tags))
     return F.get(around, F.size(around) - 1)
 
 
@@ -314,13 +324,15 @@ def headed_sections(tree: DataFrame, key: str) -> DataFrame:
     heads = F.filter("elems", lambda e: (e["tag"] == "h3") & has_class(e, "metadata-field"))
     step = tree.withColumn("_heads", heads)
 
-    def values(h):
-        later = F.filter("_heads", lambda o: (o["parent"] == h["parent"]) & (o["ord"] > h["ord"]))
-        parent_end = F.get(F.filter("elems", lambda e: e["ord"] == h["parent"]), F.lit(0))["t1"]
-        stop = F.coalesce(F.get(later, F.lit(0))["t0"], parent_end, F.size("texts"))
+    def values(h, place):
+        next_head = _next_sibling("_heads", h, place)
+        parent = F.get(F.col("elems"), F.when(h["parent"] >= 0, h["parent"]))
+        stop = F.coalesce(next_head["t0"], parent["t1"], F.size("texts"))
+        end = F.coalesce(next_head["ord"] - 1, parent["last"], F.size("elems") - 1)
         tags = F.transform(
-            F.filter("elems", lambda e: (e["parent"] == h["parent"]) & (e["t0"] >= h["t1"])
-                     & (e["t0"] < stop) & (e["t1"] > e["t0"]) & (e["ord"] > h["ord"])),
+            F.filter(between(h["last"] + 1, end),
+                     lambda e: (e["parent"] == h["parent"]) & (e["t0"] >= h["t1"])
+                     & (e["t0"] < stop) & (e["t1"] > e["t0"])),
             lambda e: F.struct(e["t0"].alias("t"), inner_text(e).alias("v")))
         bare = F.filter(
             F.transform(F.sequence(h["t1"], F.greatest(h["t1"], stop - 1)), lambda i: F.struct(
@@ -340,11 +352,13 @@ def nearby_sections(tree: DataFrame, key: str, hops: int = 6) -> DataFrame:
     heading = lambda e: e["tag"].isin("h2", "h3", "h4")
     step = tree.withColumn("_heads", F.filter("elems", heading))
 
-    def values(h):
-        after = F.slice(F.filter(
-            "elems", lambda e: (e["parent"] == h["parent"]) & (e["ord"] > h["last"])), 1, hops)
-        stop = F.coalesce(F.get(F.filter(after, heading), F.lit(0))["ord"], F.lit(2**31 - 1))
-        texts = F.transform(F.filter(after, lambda e: e["ord"] < stop), inner_text)
+    def values(h, place):
+        parent = F.get(F.col("elems"), F.when(h["parent"] >= 0, h["parent"]))
+        end = F.coalesce(_next_sibling("_heads", h, place)["ord"] - 1, parent["last"],
+                         F.size("elems") - 1)
+        after = F.slice(F.filter(between(h["last"] + 1, end),
+                                 lambda e: e["parent"] == h["parent"]), 1, hops)
+        texts = F.transform(after, inner_text)
         return F.struct(label_text(inner_text(h)).alias("label"),
                         clean_list(F.filter(texts, lambda v: ~is_noise(v)), drop=True)
                         .alias("values"))
@@ -352,6 +366,13 @@ def nearby_sections(tree: DataFrame, key: str, hops: int = 6) -> DataFrame:
     return _section_rows(step.select(key, F.explode(F.transform("_heads", values)).alias("s")), key)
 
 
+def _next_sibling(heads: str, h: Column, place: Column) -> Column:
+    """The next of the headings (an array in document order) that has the same parent."""
+    later = F.filter(F.slice(F.col(heads), place + 2, F.size(heads)),
+                     lambda o: (o["parent"] == h["parent"]) & (o["ord"] > h["last"]))
+    return F.get(later, F.lit(0))
+
+
 def _section_rows(found: DataFrame, key: str) -> DataFrame:
     return (
         found.filter(F.col("s.label") != "")
@@ -364,7 +385,7 @@ def _section_rows(found: DataFrame, key: str) -> DataFrame:
 def header_values(tree: DataFrame, key: str) -> DataFrame:
     """Principal investigators and version from the paragraphs with a bold label."""
     def value(p):
-        bold = F.get(F.filter("elems", lambda e: (e["tag"] == "strong") & inside(e, p)), F.lit(0))
+        bold = F.get(below(p, lambda e: e["tag"] == "strong"), F.lit(0))
         text = F.regexp_replace(inner_text(p), r"View help for [^.]+", "")
         return F.struct(
             F.rtrim(F.lower(inner_text(bold)), F.lit(":")).alias("name"),
@@ -386,8 +407,8 @@ def panels(tree: DataFrame, key: str) -> DataFrame:
 
     def entry(e):
         before = F.filter("_titles", lambda t: t["ord"] < e["ord"])
-        bold = F.get(F.filter("elems", lambda s: (s["tag"] == "strong") & inside(s, e)), F.lit(0))
-        helps = F.filter("elems", lambda s: inside(s, e) & attr(s, "data-helplink").isNotNull())
+        bold = F.get(below(e, lambda s: s["tag"] == "strong"), F.lit(0))
+        helps = below(e, lambda s: attr(s, "data-helplink").isNotNull())
         kept = F.filter(
             F.sequence(e["t0"], F.greatest(e["t0"], e["t1"] - 1)),
             lambda i: (i < e["t1"]) & ~F.exists(helps, lambda s: (s["t0"] <= i) & (i < s["t1"])))
@@ -413,15 +434,16 @@ def project_citation(tree: DataFrame) -> Column:
     block = F.get(F.filter("elems", lambda e: attr(e, "id") == "projectCitation"), F.lit(0))
     bold = F.filter("elems", lambda e: (e["tag"] == "strong")
                     & F.lower(inner_text(e)).contains("project citation"))
-    parent = F.get(F.filter("elems", lambda e: e["ord"] == F.get(bold, F.lit(0))["parent"]), F.lit(0))
+    above = F.get(bold, F.lit(0))["parent"]
+    parent = F.get(F.col("elems"), F.when(above >= 0, above))
     return F.coalesce(inner_text(block), F.nullif(inner_text(parent), F.lit("")), F.lit(""))
 
 
 def access_disclaimer(tree: DataFrame) -> Column:
     """Text of the box that holds the licence block."""
     block = F.get(F.filter("elems", lambda e: attr(e, "id") == "projectLicense"), F.lit(0))
-    wells = F.filter("elems", lambda e: has_class(e, "well") & (e["ord"] < block["ord"])
-                     & (block["ord"] <= e["last"]))
+    wells = F.filter(F.transform(block["up"], lambda i: F.get(F.col("elems"), i)),
+                     lambda e: has_class(e, "well"))
     return F.coalesce(inner_text(F.get(wells, F.size(wells) - 1)), F.lit(""))
 
 
@@ -465,15 +487,16 @@ def folder_table(tree: DataFrame, key: str, url: str = "url") -> DataFrame:
     """Rows of the file table, files and folders, with the fields of a file entry."""
     table = F.get(F.filter("elems", lambda e: (e["tag"] == "table") & has_class(e, "table")), F.lit(0))
     step = tree.withColumn("_t", table)
-    body = F.filter("elems", lambda e: (e["tag"] == "tbody") & inside(e, F.col("_t")))
-    rows = F.filter("elems", lambda e: (e["tag"] == "tr") & F.exists(body, lambda b: inside(e, b)))
+    body = below(F.col("_t"), lambda e: e["tag"] == "tbody")
+    step = step.withColumn("_b", body)
+    rows = below(F.col("_t"), lambda e: (e["tag"] == "tr") & F.exists(
+        "_b", lambda b: inside(e, b)))
 
     def one(r):
-        cells = F.filter("elems", lambda e: (e["tag"] == "td") & inside(e, r))
-        link = F.get(F.filter("elems", lambda e: (e["tag"] == "a") & inside(e, r)
-                              & attr(e, "href").isNotNull()), F.lit(0))
-        icon = F.exists("elems", lambda e: (e["tag"] == "i") & inside(e, r) & F.contains(
-            F.coalesce(attr(e, "class"), F.lit("")), F.lit("glyphicon-folder-open")))
+        cells = below(r, lambda e: e["tag"] == "td")
+        link = F.get(below(r, lambda e: (e["tag"] == "a") & attr(e, "href").isNotNull()), F.lit(0))
+        icon = F.size(below(r, lambda e: (e["tag"] == "i") & F.contains(
+            F.coalesce(attr(e, "class"), F.lit("")), F.lit("glyphicon-folder-open")))) > 0
         return F.struct(
             r["ord"].alias("ord"), F.size(cells).alias("cells"), attr(link, "href").alias("href"),
             inner_text(link).alias("title"), icon.alias("icon"),
@@ -512,8 +535,7 @@ def pager_urls(tree: DataFrame, key: str, url: str = "url") -> DataFrame:
                        & F.exists(lists, lambda u: inside(e, u)))
     selector = F.get(F.filter("elems", lambda e: (e["tag"] == "select")
                               & (attr(e, "id") == "pageIdOptions")), F.lit(0))
-    options = F.filter("elems", lambda e: (e["tag"] == "option") & inside(e, selector)
-                       & (F.trim(F.coalesce(attr(e, "value"), F.lit(""))) != ""))
+    options = below(selector, lambda e: (e["tag"] == "option") & (F.trim(F.coalesce(attr(e, "value"), F.lit(""))) != ""))
     step = tree.withColumn("_a", anchors).withColumn("_o", options)
     by_link = step.select(key, F.col(url).alias("_url"), F.explode(
         F.transform("_a", lambda e: attr(e, "href"))).alias("_h")).select(
@@ -540,25 +562,23 @@ def dataset_menus(tree: DataFrame, key: str) -> DataFrame:
     table = F.get(F.filter("elems", lambda e: (e["tag"] == "table")
                            & (attr(e, "id") == "data-doc")), F.lit(0))
     step = tree.withColumn("_t", table)
-    all_rows = F.filter("elems", lambda e: (e["tag"] == "tr") & inside(e, F.col("_t")))
-    bodies = F.filter("elems", lambda e: (e["tag"] == "tbody") & inside(e, F.col("_t")))
-    body_rows = F.filter(all_rows, lambda r: F.exists(bodies, lambda b: b["ord"] == r["parent"]))
-    rows = F.when(F.size(body_rows) > 0, body_rows).otherwise(all_rows)
+    step = step.withColumn("_r", below(F.col("_t"), lambda e: e["tag"] == "tr"))
+    in_body = lambda r: F.get(F.col("elems"), r["parent"])["tag"] == "tbody"
+    body_rows = F.filter("_r", in_body)
+    rows = F.when(F.size(body_rows) > 0, body_rows).otherwise(F.col("_r"))
 
     def offered(cell):
-        menus = F.filter("elems", lambda e: (e["tag"] == "ul") & has_class(e, "dropdown-menu")
-                         & inside(e, cell))
+        menus = below(cell, lambda e: (e["tag"] == "ul") & has_class(e, "dropdown-menu"))
         in_menu = lambda e: F.exists(menus, lambda m: inside(e, m))
-        by_link = F.transform(F.filter("elems", lambda e: (e["tag"] == "a") & inside(e, cell) & (
+        by_link = F.transform(below(cell, lambda e: (e["tag"] == "a") & (
             in_menu(e) | has_class(e, "dropdown-item"))), inner_text)
-        by_item = F.transform(F.filter("elems", lambda e: (e["tag"] == "li") & in_menu(e)),
-                              inner_text)
+        by_item = F.transform(below(cell, lambda e: (e["tag"] == "li") & in_menu(e)), inner_text)
         keep = lambda t: (t != "") & ~F.lower(t).isin("preview", "download")
         first, second = F.filter(by_link, keep), F.filter(by_item, keep)
         return F.array_distinct(F.when(F.size(first) > 0, first).otherwise(second))
 
     def one(r):
-        cells = F.filter("elems", lambda e: (e["tag"] == "td") & (e["parent"] == r["ord"]))
+        cells = below(r, lambda e: (e["tag"] == "td") & (e["parent"] == r["ord"]))
         cell = lambda i: F.get(cells, F.lit(i))
         return F.struct(
             F.size(cells).alias("cells"), attr(r, "class").alias("css"),
@@ -612,7 +632,7 @@ def download_options(tree: DataFrame, key: str, ld: str = "jsonld") -> DataFrame
     box = F.get(F.filter("elems", lambda e: (e["tag"] == "div")
                          & (attr(e, "id") == "quickDownload")), F.lit(0))
     step = tree.withColumn("_b", box)
-    anchors = F.filter("elems", lambda e: (e["tag"] == "a") & inside(e, F.col("_b")))
+    anchors = below(F.col("_b"), lambda e: e["tag"] == "a")
     from_menu = step.select(key, F.posexplode(F.array_distinct(
         F.transform(anchors, inner_text))).alias("place", "label")).filter("label <> ''")
     more = from_menu.join(from_data.select(key, "label").distinct(), [key, "label"], "left_anti")

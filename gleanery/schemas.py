@@ -54,79 +54,96 @@ def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
 
 
-def _names(text: str) -> list[str]:
-    return text.split()
-
-
 # The unified record, section by section. `any` fields may hold
 # anything including null; `flag` fields are booleans, `count` fields integers.
 RECORD = {
     "": {
-        "text": _names(
-            "schema_version source_url final_url page_title page_type repository repository_url "
-            "study_id title subtitle version published_date modified_date publisher citation "
-            "summary abstract purpose study_design sample universe unit_of_analysis "
-            "generated_at_utc"),
-        "list": _names(
-            "alternate_titles authors author_affiliations contributors distributors language "
-            "keywords topics subjects funding export_formats versions"),
-        "object": _names(
-            "identifiers dates relationships time coverage methodology access notes variables "
-            "publications files provenance diagnostics source_specific"),
+        "text": [
+            "schema_version", "source_url", "final_url", "page_title", "page_type", "repository",
+            "repository_url", "study_id", "title", "subtitle", "version", "published_date",
+            "modified_date", "publisher", "citation", "summary", "abstract", "purpose",
+            "study_design", "sample", "universe", "unit_of_analysis", "generated_at_utc",
+        ],
+        "list": [
+            "alternate_titles", "authors", "author_affiliations", "contributors", "distributors",
+            "language", "keywords", "topics", "subjects", "funding", "export_formats", "versions",
+        ],
+        "object": [
+            "identifiers", "dates", "relationships", "time", "coverage", "methodology", "access",
+            "notes", "variables", "publications", "files", "provenance", "diagnostics",
+            "source_specific",
+        ],
     },
     "identifiers": {
-        "text": _names("study_id source_record_id doi doi_canonical handle ark isbn issn"),
+        "text": [
+            "study_id", "source_record_id", "doi", "doi_canonical", "handle", "ark", "isbn",
+            "issn",
+        ],
         "list": ["other_identifiers"]},
-    "dates": {"text": _names(
-        "published_date modified_date created_date deposit_date release_date")},
-    "relationships": {"list": _names(
-        "series projects collections related_datasets related_materials replaces is_replaced_by "
-        "supplements is_supplement_to")},
-    "time": {"list": _names("time_method collection_dates temporal_coverage")},
-    "coverage": {"list": _names(
-        "geographic_coverage geographic_unit country state city spatial_coverage")},
-    "methodology": {"list": _names(
-        "analysis_units kind_of_data collection_mode sampling_procedure mode_of_observation "
-        "data_source")},
+    "dates": {"text": [
+        "published_date", "modified_date", "created_date", "deposit_date", "release_date",
+    ]},
+    "relationships": {"list": [
+        "series", "projects", "collections", "related_datasets", "related_materials", "replaces",
+        "is_replaced_by", "supplements", "is_supplement_to",
+    ]},
+    "time": {"list": ["time_method", "collection_dates", "temporal_coverage"]},
+    "coverage": {"list": [
+        "geographic_coverage", "geographic_unit", "country", "state", "city", "spatial_coverage",
+    ]},
+    "methodology": {"list": [
+        "analysis_units", "kind_of_data", "collection_mode", "sampling_procedure",
+        "mode_of_observation", "data_source",
+    ]},
     "access": {
-        "text": _names("license license_url terms_url restrictions"), "list": ["access_notes"],
+        "text": ["license", "license_url", "terms_url", "restrictions"], "list": ["access_notes"],
         "object": ["restricted_data_types"],
-        "flag": _names(
-            "has_restricted_files has_downloadable_files documentation_only_download "
-            "access_restricted_data_button analyze_online"),
-        "any": _names("has_public_files open_access embargoed authentication_required")},
-    "access.restricted_data_types": {"flag": _names("idars useAgreement restricted vde enclave")},
-    "notes": {"list": _names(
-        "collection_notes collection_changes cleaning_notes processing_notes quality_notes")},
+        "flag": [
+            "has_restricted_files", "has_downloadable_files", "documentation_only_download",
+            "access_restricted_data_button", "analyze_online",
+        ],
+        "any": ["has_public_files", "open_access", "embargoed", "authentication_required"]},
+    "access.restricted_data_types": {"flag": [
+        "idars", "useAgreement", "restricted", "vde", "enclave",
+    ]},
+    "notes": {"list": [
+        "collection_notes", "collection_changes", "cleaning_notes", "processing_notes",
+        "quality_notes",
+    ]},
     "variables": {"any": ["count"], "list": ["groups"], "text": ["overview"]},
     "publications": {"any": ["count"], "list": ["items"]},
     "files": {
-        "text": _names("endpoint content_type source counting_basis"), "any": ["status_code"],
-        "list": _names(
-            "filesets raw_files unique_files downloadable_files documentation_files data_files "
-            "setup_files other_files"),
+        "text": ["endpoint", "content_type", "source", "counting_basis"], "any": ["status_code"],
+        "list": [
+            "filesets", "raw_files", "unique_files", "downloadable_files", "documentation_files",
+            "data_files", "setup_files", "other_files",
+        ],
         "object": ["summary"]},
     "files.summary": {
-        "count": _names(
-            "raw_entry_count unique_file_count raw_public_entries unique_public_files "
-            "raw_restricted_or_nonpublic_entries unique_restricted_or_nonpublic_files "
-            "raw_downloadable_entries unique_downloadable_files downloadable_public_files "
-            "downloadable_documentation_files downloadable_data_files documentation_file_count "
-            "data_file_count setup_file_count other_file_count"),
-        "object": _names("raw_formats unique_formats raw_file_contents unique_file_contents")},
+        "count": [
+            "raw_entry_count", "unique_file_count", "raw_public_entries", "unique_public_files",
+            "raw_restricted_or_nonpublic_entries", "unique_restricted_or_nonpublic_files",
+            "raw_downloadable_entries", "unique_downloadable_files", "downloadable_public_files",
+            "downloadable_documentation_files", "downloadable_data_files",
+            "documentation_file_count", "data_file_count", "setup_file_count", "other_file_count",
+        ],
+        "object": ["raw_formats", "unique_formats", "raw_file_contents", "unique_file_contents"]},
     "provenance": {
-        "text": _names("repository repository_url page_type parser_version schema_version"),
-        "list": _names(
-            "source_urls_visited api_endpoints_called html_pages_fetched fetch_methods")},
+        "text": [
+            "repository", "repository_url", "page_type", "parser_version", "schema_version",
+        ],
+        "list": [
+            "source_urls_visited", "api_endpoints_called", "html_pages_fetched", "fetch_methods",
+        ]},
     "diagnostics": {
-        "list": _names("fetch_warnings field_warnings validation_warnings metadata_sources"),
+        "list": ["fetch_warnings", "field_warnings", "validation_warnings", "metadata_sources"],
         "object": ["completeness"]},
     "diagnostics.completeness": {
         "flag": ["required_fields_present"], "list": ["missing_required_fields"]},
     "source_specific": {
         "any": ["raw_jsonld"],
-        "object": _names("raw_meta_tags raw_page_blocks raw_api_payloads extra"),
-        "list": _names("raw_export_signals raw_action_signals")},
+        "object": ["raw_meta_tags", "raw_page_blocks", "raw_api_payloads", "extra"],
+        "list": ["raw_export_signals", "raw_action_signals"]},
 }
 
 # Fields a record must fill.

@@ -257,3 +257,30 @@ def test_folder_profile_splits_and_maps(spark):
     got = {(r.field, r.value) for r in record.resolve_lists(facts, "datalumos").collect()}
     assert {("subjects", "a"), ("keywords", "b"), ("temporal_coverage", "2001-03 -- 2002-04"),
             ("distributors", "Inter-university Consortium for Political and Social Research (ICPSR)")} <= got
+
+
+def folder_page(spark, n):
+    rows = "".join(f'<tr><td><a href="?path=/d/f{i}.txt">F{i}</a></td><td>x</td><td>{i} B</td><td>2024</td></tr>'
+                   for i in range(n))
+    html = f'<html><body><table class="table"><tbody>{rows}</tbody></table></body></html>'
+    df = spark.createDataFrame([(1, "https://h/p", html)], "page_id int, url string, html string")
+    return pages.parse_pages(df)
+
+
+def test_a_folder_listing_costs_as_much_as_it_is_long(spark):
+    import time
+
+    taken = {}
+    for n in (20, 500, 2000):
+        start = time.perf_counter()
+        assert pages.folder_table(folder_page(spark, n), "page_id").count() == n
+        taken[n] = time.perf_counter() - start
+    assert taken[2000] < 8 * taken[500] + 2
+
+
+def test_sections_end_at_the_next_heading_of_their_parent(spark):
+    html = ("<div><h3>A</h3><p>one</p><div><h3>inner</h3><p>deep</p></div><p>two</p><h3>B</h3><p>three</p></div>"
+            "<h3>C</h3><p>four</p>")
+    tree = pages.parse_pages(spark.createDataFrame([(1, html)], "page_id int, html string"))
+    got = {(r.label, r.value) for r in pages.nearby_sections(tree, "page_id").collect()}
+    assert got == {("A", "one"), ("A", "inner deep"), ("A", "two"), ("inner", "deep"), ("B", "three"), ("C", "four")}
