@@ -32,7 +32,7 @@ from .common import WORD_RE, components
 
 SEED = 42
 BITS = 4
-GROUPS = 7
+GROUPS = 8
 #: The low bit of every two-bit segment (fixed value).
 LOW = 0x5555555555555555
 _UPPER = bytes(range(256)).translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
