@@ -19,4 +19,6 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    from gleanery.checks import documents, pages, records, relational, scalars, store  # noqa: F401
+    from gleanery.checks import (  # noqa: F401
+        documents, pages, records, relational, scalars, store, studies,
+    )

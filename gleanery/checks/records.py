@@ -180,8 +180,7 @@ def _(spark, d):
 def _(spark, d):
     routed, facts = study_facts(spark, d)
     records, _ = page_run.study_records(routed, facts, "icpsr", RUN)
-    flat = records.withColumn("nested_study_id", F.col("study_id"))
-    rows = page_run.project_rows(page_run.checked_records(flat), 15, "https://r", "studies", RUN, "*")
+    rows = page_run.project_rows(page_run.checked_records(records), 15, "https://r", "studies", RUN, "*")
     return rows.select("project_key", "project_id", "title", "description", "language", "doi",
                        "upload_date", "download_project_folder", "project_url")
 

@@ -701,6 +701,26 @@ def search_documents(pages: DataFrame, keep: list[str], html: str = "html") -> D
     ).filter(F.col("url") != "")
 
 
+def search_cascade(pages: DataFrame, key: str, html: str = "html") -> tuple[DataFrame, DataFrame]:
+    """Studies of search pages, and the pages that gave none: (studies, errors).
+
+    A page's payload is read first, its visible study links where there is no
+    payload; `parse_mode` says which. A page with neither is an error row. Which
+    way a page goes depends on its content alone.
+    """
+    marked = pages.withColumn("_has", search_payload(html).isNotNull())
+    by_payload = search_documents(marked.filter("_has"), [key], html).select(
+        key, "pos", "study_id", "title", "url", F.lit("payload").alias("parse_mode"))
+    rest = marked.filter("NOT _has").drop("_has")
+    found = study_links(links(parse_pages(rest, html), key), key)
+    by_link = found.select(key, F.col("place").alias("pos"), "study_id", "title", "url",
+                           F.lit("html_link_fallback").alias("parse_mode"))
+    errors = rest.join(found.select(key).distinct(), key, "left_anti").select(
+        key, F.lit("Could not extract search results JSON or fallback study links.")
+        .alias("reason"))
+    return by_payload.unionByName(by_link), errors
+
+
 def variable_count(variables: DataFrame, tree: DataFrame, key: str) -> DataFrame:
     """Variables a page reports: payload count, else `a to b of c`, else 0 where it says none."""
     found = (

@@ -257,6 +257,38 @@ def merge_funding(listed: DataFrame, inline: DataFrame) -> DataFrame:
     )
 
 
+def json_ld_funding(pages: DataFrame, ld: str = "jsonld") -> DataFrame:
+    """Funding entries of the first JSON-LD object of each study, as `merge_funding` takes them."""
+    first = pages.filter(F.col(ld).isNotNull()).groupBy("study_id").agg(
+        F.min_by(F.to_json(ld), "page_ord").alias("_j"))
+    items = F.coalesce(
+        F.try_variant_get(F.parse_json("_j"), "$.funding", "array<variant>"),
+        F.array(F.try_variant_get(F.parse_json("_j"), "$.funding", "variant")))
+    get = lambda p: F.try_variant_get("v", p, "string")
+    return (
+        first.select("study_id", F.posexplode(items).alias("place", "v"))
+        .filter(F.schema_of_variant("v").startswith("OBJECT"))
+        .select("study_id", "place",
+                F.coalesce(get("$.funder.name"), get("$.funder")).alias("funder_name"),
+                get("$.identifier").alias("identifier"), get("$.display").alias("display"),
+                get("$.url").alias("url")))
+
+
+def inline_funding(variables: DataFrame) -> DataFrame:
+    """Funding entries of the inline `metadata` of each study's first page that has them."""
+    held = variables.filter("name = 'metadata'").select(
+        "study_id", "page_ord", F.try_variant_get("json", "$.fundingSources", "array<variant>")
+        .alias("items")).filter("size(items) > 0")
+    first = held.groupBy("study_id").agg(
+        F.min_by(F.transform("items", lambda v: F.to_json(v)), "page_ord").alias("items"))
+    get = lambda p: F.try_variant_get("v", p, "string")
+    return (
+        first.select("study_id", F.posexplode("items").alias("place", "j"))
+        .withColumn("v", F.parse_json("j")).filter(F.schema_of_variant("v").startswith("OBJECT"))
+        .select("study_id", "place", get("$.funderName").alias("funder_name"),
+                get("$.grantNo").alias("identifier"), get("$.display").alias("display")))
+
+
 def json_ld_facts(pages: DataFrame, ld: str = "jsonld") -> DataFrame:
     """Facts of the first JSON-LD object of each study; needs study_id, page_ord and the object."""
     first = pages.filter(F.col(ld).isNotNull()).groupBy("study_id").agg(

@@ -55,6 +55,22 @@ def version_rows(versions: DataFrame, key: str, order: str) -> DataFrame:
         current.alias("is_current"))
 
 
+def with_unlisted(versions: DataFrame, projects: DataFrame, key: str, order: str) -> DataFrame:
+    """The input of `version_rows`, with one current row for each project that lists no version.
+
+    `versions` has key, order, version, published_date, is_current; `projects`
+    has key, project_version, project_date, which every row gets.
+    """
+    listed = versions.select(key, order, "version", "published_date", "is_current").join(
+        projects, key)
+    text = F.lit(None).cast("string")
+    alone = projects.join(versions.select(key).distinct(), key, "left_anti").select(
+        key, F.lit(0).cast("bigint").alias(order), text.alias("version"),
+        text.alias("published_date"), F.lit(True).alias("is_current"), "project_version",
+        "project_date")
+    return listed.unionByName(alone)
+
+
 def version_for_files(rows: DataFrame, wanted: DataFrame, key: str, order: str) -> DataFrame:
     """The version downloaded files belong to: current, else matching, else first."""
     joined = rows.join(wanted.select(key, codes.version_value("project_version").alias("_w")), key)
@@ -63,18 +79,34 @@ def version_for_files(rows: DataFrame, wanted: DataFrame, key: str, order: str)
                                    F.min_by("version", place).alias("version"))
 
 
-def page_versions(versions: DataFrame, key: str, order: str) -> DataFrame:
+def page_versions(
+    versions: DataFrame, key: str, order: str, studies: DataFrame | None = None
+) -> DataFrame:
     """Versions listed on pages: distinct by version, date and URL, current marked.
 
     Needs key, order, version, published_date, url, current_version. When none
-    equals the current version the first one listed is current.
+    equals the current version the first one listed is current. `studies` (key,
+    current_version, page_url) gives a blank URL its page's, and a study without
+    a listed version one current row where it has a current version.
     """
     from gleanery.functions.text import clean_text
     from gleanery.functions.urls import url_identity
 
+    if studies is not None:
+        pages = studies.select(key, F.col("page_url").alias("_page"))
+        versions = versions.join(pages, key, "left").withColumn(
+            "url", first_non_blank("url", "_page")).drop("_page")
+        alone = studies.filter(first_non_blank("current_version").isNotNull()).join(
+            versions.select(key).distinct(), key, "left_anti")
+        versions = versions.select(
+            key, order, "version", "published_date", "url", "current_version").unionByName(
+            alone.select(key, F.lit(0).cast("bigint").alias(order),
+                         F.col("current_version").alias("version"),
+                         F.lit("").alias("published_date"), F.col("page_url").alias("url"),
+                         "current_version"))
     rows = versions.select(
         key, order, clean_text("version").alias("version"),
-        codes.iso_date("published_date").alias("published_date"),
+        F.coalesce(codes.iso_date("published_date"), F.lit("")).alias("published_date"),
         url_identity("url", "version").alias("url"),
         clean_text("current_version").alias("_wanted"))
     distinct = rows.groupBy(key, "version", "published_date", "url").agg(

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from gleanery import schemas, vocab
 from gleanery.functions import codes, urls
 from gleanery.operators import pages as P
-from gleanery.operators import quality, record, signals
+from gleanery.operators import dedupe, quality, record, signals, versions
+from gleanery.schemas import TABLES
 from gleanery.session import cut_lineage
 
 
@@ -36,20 +37,71 @@ def _facts(df: DataFrame, source: str, name, place, value) -> DataFrame:
         place.cast("bigint").alias("place"), value.alias("value"))
 
 
-def page_facts(routed: DataFrame, profile: str) -> DataFrame:
+def page_trees(routed: DataFrame, profile: str) -> DataFrame:
+    """The parsed pages of one profile, keyed by page_id, written once without their markup."""
+    mine = _pages_of(routed, profile)
+    tree = P.parse_pages(mine.withColumn("jsonld", F.to_json(P.json_ld("html")))).drop("html")
+    return cut_lineage(tree, "pages").withColumn("jsonld", F.parse_json("jsonld"))
+
+
+def _pages_of(routed: DataFrame, profile: str) -> DataFrame:
+    return (
+        routed.filter(F.col("page_type") == profile).select("study_id", "page_ord", "url", "html")
+        .withColumn("page_id", F.struct("study_id", "page_ord")))
+
+
+def page_files(tree: DataFrame, profile: str) -> DataFrame:
+    """Files that the pages of a profile show, each name and type once per study."""
+    if profile == "icpsr":
+        found = P.merge_menus(P.dataset_menus(tree, "page_id"), "page_id").select(
+            "page_id.study_id", "file_name", F.col("file_extension").alias("file_type"),
+            "file_category")
+    elif profile == "openicpsr":
+        found = P.file_links(P.links(tree, "page_id"), "page_id").select(
+            "page_id.study_id", "file_name", F.col("file_format").alias("file_type"),
+            "file_category")
+    else:
+        found = P.folder_table(tree, "page_id").filter("NOT is_folder").select(
+            "page_id.study_id", "file_name", F.col("file_extension").alias("file_type"),
+            "file_category")
+    return found.filter("file_name <> ''").groupBy("study_id", "file_name", "file_type").agg(
+        F.min("file_category").alias("file_category"))
+
+
+def listed_versions(tree: DataFrame, profile: str) -> DataFrame:
+    """Versions that the pages of a study list, in the order of pages and places."""
+    if profile != "datalumos":
+        return tree.sparkSession.createDataFrame(
+            [], "study_id string, place bigint, version string, published_date string, "
+                "is_current boolean")
+    rows = P.published_versions(tree, "page_id")
+    place = F.col("page_id.page_ord").cast("bigint") * 1_000_000 + F.col("place")
+    return rows.groupBy("page_id.study_id", "version", "published_date").agg(
+        F.min(place).alias("place")).select(
+        "study_id", "place", "version", "published_date",
+        F.lit(None).cast("boolean").alias("is_current"))
+
+
+def study_funding(tree: DataFrame, profile: str) -> DataFrame:
+    """Funding of each study: inline entries over those of the JSON-LD."""
+    listed = record.json_ld_funding(tree.select("study_id", "page_ord", "jsonld"))
+    variables = P.script_variables(tree, "page_id").select("*", "page_id.*")
+    inline = record.inline_funding(variables)
+    if profile != "icpsr":
+        inline = inline.limit(0)
+    return record.merge_funding(listed, inline)
+
+
+def page_facts(routed: DataFrame, profile: str, tree: DataFrame | None = None) -> DataFrame:
     """All facts of the pages of one profile.
 
     Needs study_id, page_ord, url, html. The parsed tree feeds many outputs, so
-    it is written once, without the markup, and read back: the Python stage runs
-    a single time. Title, meta tags and JSON-LD are patterns over the markup and
-    are read from the pages themselves.
+    it is written once (`page_trees`), without the markup, and read back: the
+    Python stage runs a single time. Title and meta tags are patterns over the
+    markup and are read from the pages themselves.
     """
-    mine = (
-        routed.filter(F.col("page_type") == profile)
-        .select("study_id", "page_ord", "url", "html")
-        .withColumn("page_id", F.struct("study_id", "page_ord"))
-    )
-    tree = cut_lineage(P.parse_pages(mine).drop("html"), "pages")
+    mine = _pages_of(routed, profile)
+    tree = page_trees(routed, profile) if tree is None else tree
     with_page = lambda df: df.select("*", "page_id.*")
     zero = F.lit(0)
     base = mine.select("study_id", "page_ord", P.page_title("html").alias("title"),
@@ -125,11 +177,102 @@ def study_records(
         .withColumn("schema_version", F.lit(vocab.SCHEMA_VERSION))
         .withColumn("generated_at_utc", F.lit(run_time))
         .withColumn("final_url", F.col("source_url"))
+        .withColumn("nested_study_id", F.col("study_id"))
     )
+    records = records.withColumns({f"provenance_{c}": F.col(c) for c in (
+        "repository", "repository_url", "page_type", "schema_version")})
     return record.normalise_record(records), lists
 
 
-REQUIRED = {name: name.split(".")[-1] for name in schemas.REQUIRED}
+# which column holds a required field: nested ones have columns of their own
+REQUIRED = {name: "nested_study_id" if name == "identifiers.study_id" else name.replace(".", "_")
+            for name in schemas.REQUIRED}
+
+
+def evaluate(
+    routed: DataFrame, profile: str, repository_id: int, folder: str, run_time: str, query: str
+) -> dict[str, DataFrame]:
+    """Everything a run knows of the studies of one profile.
+
+    `projects` are the stored rows with `qualitative`, `has_files`, version and
+    licence; `versions`, `files`, `people`, `keywords` and `funding` are their
+    children, `failures` the records that are not valid.
+    """
+    tree = page_trees(routed, profile)
+    facts = page_facts(routed, profile, tree)
+    records, lists = study_records(routed, facts, profile, run_time)
+    checked = cut_lineage(checked_records(records), "records")
+    files = cut_lineage(page_files(tree, profile), "files")
+    options = P.download_options(tree, "page_id").select("page_id.study_id")
+    offered = files.select("study_id").unionByName(options).distinct().withColumn(
+        "has_files", F.lit(True))
+    rows = project_rows(checked, repository_id, vocab.REPOSITORY_URL[profile], folder, run_time,
+                        query)
+    facts_of = checked.filter("valid").select(
+        "study_id", "qualitative", F.col("version").alias("project_version"),
+        F.col("published_date").alias("project_date"),
+        codes.license_name("license").alias("license"))
+    projects = rows.withColumn("study_id", F.col("project_id").cast("string")).join(
+        facts_of, "study_id").join(offered, "study_id", "left").withColumn(
+        "has_files", F.coalesce("has_files", F.lit(False)))
+    projects = cut_lineage(projects, "projects")
+    keys = projects.select("study_id", "project_key")
+    stated = versions.with_unlisted(
+        listed_versions(tree, profile), projects.select("study_id", "project_version",
+                                                        "project_date"), "study_id", "place")
+    people = lists.filter(F.col("field").isin("authors", "contributors")).select(
+        "study_id", F.when(F.col("field") == "authors", F.lit("AUTHOR"))
+        .otherwise(F.lit("CONTRIBUTOR")).alias("role"), F.col("value").alias("name"))
+    return {
+        "projects": projects,
+        "versions": versions.version_rows(stated, "study_id", "place").join(keys, "study_id"),
+        "files": files.join(keys, "study_id"),
+        "people": people.distinct().join(keys, "study_id"),
+        "keywords": lists.filter("field = 'keywords'").select(
+            "study_id", F.col("value").alias("keyword")).distinct().join(keys, "study_id"),
+        "funding": study_funding(tree, profile).join(keys, "study_id"),
+        "failures": quality.split_valid(checked, "study_id", run_time)[1],
+    }
+
+
+def catalogue(
+    run: dict[str, DataFrame], fetched: DataFrame, run_time: str,
+    after: dict[str, int] | None = None,
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Seen project keys, and the new rows of every stored table for the kept projects.
+
+    A project is kept when it qualifies. `fetched` has study_id, file_name and
+    status of the downloads; a file without one counts as unresponsive. `after`
+    has the largest stored ids (`api_run.last_ids`).
+    """
+    after = after or {}
+    kept = run["projects"].filter("qualitative")
+    keys = kept.select("project_key")
+    mine = lambda name: run[name].join(keys, "project_key", "left_semi")
+    number = lambda table, df, *by: dedupe.row_numbers(
+        df, list(by), after=after.get(table, 0))
+    stored = cut_lineage(number(
+        "project_versions", mine("versions").withColumn("release_time", F.lit(""))
+        .withColumn("download_date", F.lit(run_time)), "project_key", "place")
+        .withColumnRenamed("id", "version_key"), "versions")
+    chosen = stored.groupBy("project_key").agg(
+        F.min_by("version_key", F.struct(~F.col("is_current"), F.col("place"))).alias("version_key"))
+    files = (
+        mine("files").join(chosen, "project_key")
+        .join(fetched.select("study_id", "file_name", "status"), ["study_id", "file_name"], "left")
+        .withColumn("file_type", codes.row_type("file_name", F.col("file_type")))
+        .withColumn("status", codes.file_status(F.coalesce("status", F.lit("")))))
+    new = {
+        "projects": kept, "project_versions": stored,
+        "files": number("files", files, "project_key", "file_name", "file_type"),
+        "keywords": number("keywords", mine("keywords"), "project_key", "keyword"),
+        "person_role": number("person_role", mine("people"), "project_key", "role", "name"),
+        "licenses": number("licenses", kept.filter("license <> ''").select(
+            "project_key", "license"), "project_key"),
+        "failures": number("failures", run["failures"], "reason"),
+    }
+    return run["projects"].select("project_key"), {
+        name: df.select(*TABLES[name].names) for name, df in new.items()}
 
 
 def checked_records(records: DataFrame) -> DataFrame:
