@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,7 @@ def coded_words(texts: Sequence[str], find=WORD_RE.findall):
         codes = np.array([number.setdefault(w, len(number)) for words in found for w in words],
                          dtype=np.int64)
         return codes, list(number), ends
-    flat = np.array([w for words in found for w in words], dtype=object)
+    flat = np.fromiter(chain.from_iterable(found), dtype=object, count=int(ends[-1]) if found else 0)
     codes, distinct = pd.factorize(flat)
     return codes, distinct, ends
 

@@ -36,7 +36,7 @@ from .tokens import encoded, encoder
 HEADER = "<8sQQQQ"
 MARK = b"ids-mph1"
 #: Keys a bucket has on average.
-BUCKET_KEYS = 4
+BUCKET_KEYS = 2
 MANIFEST = ("shard int, ids_path string, index_path string, n_docs long, n_ids long, "
             "min_key long, max_key long")
 
@@ -60,7 +60,8 @@ class KeyIndex:
     @classmethod
     def build(cls, keys: np.ndarray) -> KeyIndex:
         """Buckets, fullest first, each get the first jump that puts their keys on free slots;
-        a bucket of one key is shifted straight onto a free slot."""
+        buckets of one key are shifted straight onto the slots that are left. All buckets of a
+        size try a jump together; where two want a slot, the first has it."""
         n, buckets = len(keys), max(1, -(-len(keys) // BUCKET_KEYS))
         jump, shift = np.zeros(buckets, np.uint32), np.zeros(buckets, np.uint32)
         index = cls(jump, shift, np.zeros(n, np.uint32))
@@ -71,26 +72,27 @@ class KeyIndex:
         sizes = np.bincount(bucket, minlength=buckets)
         starts = np.cumsum(sizes) - sizes
         free = np.ones(n, dtype=bool)
-        fullest = np.argsort(-sizes, kind="stable")
-        for b in fullest[sizes[fullest] > 1].tolist():
-            mine = order[starts[b]:starts[b] + sizes[b]]
-            begin, first = base[mine], 0
-            while True:
-                tries = np.arange(first, first + 64)[:, None]
-                places = np.sort(index._jumped(begin, tries), axis=1)
-                good = free[places].all(axis=1) & (np.diff(places, axis=1) > 0).all(axis=1)
-                if good.any():
-                    at = int(good.argmax())
-                    jump[b] = first + at
-                    free[places[at]] = False
-                    break
-                first += 64
-                if first > 1 << 22:
+        for size in range(int(sizes.max()), 1, -1):
+            left = np.flatnonzero(sizes == size)
+            hashes = base[order[starts[left][:, None] + np.arange(size)]]
+            tried = 0
+            while len(left):
+                places = index._jumped(hashes, np.array(tried))
+                inner = np.sort(places, axis=1)
+                good = free[places].all(axis=1) & (np.diff(inner, axis=1) > 0).all(axis=1)
+                wanted, owner = np.unique(places[good], return_index=True)
+                won = np.bincount(owner // size, minlength=int(good.sum())) == size
+                chosen = np.flatnonzero(good)[won]
+                free[places[chosen]] = False
+                jump[left[chosen]] = tried
+                rest = np.ones(len(left), dtype=bool)
+                rest[chosen] = False
+                left, hashes, tried = left[rest], hashes[rest], tried + 1
+                if tried > 1 << 22:
                     raise ValueError("keys are not distinct")
-        single = fullest[sizes[fullest] == 1]
-        alone = order[starts[single]]
+        single = np.flatnonzero(sizes == 1)
         places = np.flatnonzero(free)[:len(single)]
-        shift[single] = (places - index._jumped(base[alone], np.zeros(1, np.int64))) % n
+        shift[single] = (places - index._jumped(base[order[starts[single]]], np.array(0))) % n
         index.prints[index.slots(keys)] = _mix(keys, 3).astype(np.uint32)
         return index
 

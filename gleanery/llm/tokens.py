@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 
@@ -90,15 +92,27 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ends of the texts in it)."""
+        # many small objects and no cycles: the cycle collector would only walk them
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         codes, distinct, ends = coded_words(texts, _split)
         if len(self.known) > self.most_pieces:
             self._forget()
-        new = [p for p in distinct if p not in self.known]
-        if new:
-            self._learn(new)
         if not len(codes):
             return self.table[:0], np.zeros(len(texts), dtype=np.int64)
-        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[codes]
+        of_piece = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(of_piece < 0)
+        of_piece[new] = len(self.known) + np.arange(len(new))
+        if len(new):
+            self._learn([distinct[i] for i in new.tolist()])
+        number = of_piece[codes]
         lengths = self.lengths[number]
         ids = self.table[ragged(self.starts[number], lengths)]
         return ids, np.concatenate([[0], np.cumsum(lengths)])[ends]
