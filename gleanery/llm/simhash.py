@@ -4,9 +4,9 @@ A fingerprint of 64 bits is cut into 32 segments of two bits, and embedded as
 the vector of the segments' bit counts. The Manhattan distance of two vectors
 never exceeds the number of differing bits, so it bounds the search from below.
 The grid over this space has cells of width one; as a whole vector is too fine
-a cell, a cell holds the counts of `groups - bits` of `groups` groups of
-segments: vectors within `bits` differ in at most so many groups, hence share a
-cell. Pairs in a cell pass the Manhattan bound and are then verified exactly.
+a cell, the segments are put in groups, and a cell holds the counts of some
+groups: vectors within `bits` differ in at most so many groups, and for every
+such choice of groups there is a cell that holds none of them. Pairs in a cell pass the Manhattan bound and are then verified exactly.
 
 A cell may hold many fingerprints of one large group of near copies. Not all
 their pairs are formed: first each fingerprint is linked with the smallest one
@@ -32,7 +32,7 @@ from .common import WORD_RE, components
 
 SEED = 42
 BITS = 4
-GROUPS = 8
+GROUPS = 11
 #: The low bit of every two-bit segment (fixed value).
 LOW = 0x5555555555555555
 _UPPER = bytes(range(256)).translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
@@ -88,11 +88,42 @@ def embedding(fp: Column) -> Column:
         F.shiftleft(fp.bitwiseAND(next_bit).bitwiseAND(low), 1))
 
 
+def steiner_blocks() -> list[frozenset]:
+    """The 66 blocks of five points out of eleven that hold each four points exactly once.
+
+    The squares modulo 11 and infinity, moved by x + 1, 3x and -1/x, give the
+    132 blocks of six points on twelve; those with infinity, without it, are
+    the blocks here.
+    """
+    far = 11
+    moves = [lambda x: x if x == far else (x + 1) % 11, lambda x: x if x == far else 3 * x % 11,
+             lambda x: {far: 0, 0: far}.get(x, -pow(x, -1, 11) % 11 if x % far else 0)]
+    start = frozenset([far, *(x * x % 11 for x in range(1, 11))])
+    blocks, work = {start}, [start]
+    while work:
+        block = work.pop()
+        for move in moves:
+            moved = frozenset(map(move, block))
+            if moved not in blocks:
+                blocks.add(moved)
+                work.append(moved)
+    return sorted((b - {far} for b in blocks if far in b), key=sorted)
+
+
 def cell_masks(bits: int, groups: int) -> list[int]:
-    """Which bits of the embedding make a cell: all choices of groups - bits groups."""
+    """Which bits of the embedding make a cell: for any `bits` groups one holds none of them.
+
+    Four of eleven groups always lie in a block of five of the design above:
+    66 cells hold the other six groups each. Otherwise a cell is any choice of
+    groups - bits groups.
+    """
     segments = np.array_split(np.arange(32), groups)
     parts = [sum(3 << (2 * int(s)) for s in part) for part in segments]
-    masks = [sum(chosen) for chosen in combinations(parts, groups - bits)]
+    if (bits, groups) == (4, 11):
+        chosen = [[g for g in range(11) if g not in block] for block in steiner_blocks()]
+    else:
+        chosen = [list(c) for c in combinations(range(groups), groups - bits)]
+    masks = [sum(parts[g] for g in some) for some in chosen]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 
 import pytest
@@ -104,7 +105,15 @@ def slow_components(prints, bits):
     return {a: find(a) for a in keys}
 
 
-@pytest.mark.parametrize("bits,groups", [(4, 7), (2, 4), (0, 1)])
+def test_every_four_groups_are_missing_in_some_cell():
+    blocks = simhash.steiner_blocks()
+    assert len(blocks) == 66 and all(len(b) == 5 for b in blocks)
+    count = collections.Counter(four for b in blocks for four in itertools.combinations(sorted(b), 4))
+    assert set(count.values()) == {1} and len(count) == 330
+    assert len(simhash.cell_masks(4, 11)) == 66
+
+
+@pytest.mark.parametrize("bits,groups", [(4, 11), (4, 7), (2, 4), (0, 1)])
 def test_links_against_all_pairs(spark, bits, groups):
     rng, prints = random.Random(bits), set()
     for _ in range(25):
