@@ -171,20 +171,24 @@ def repeats(docs: DataFrame, window: int = 35, k: int = ANCHOR) -> DataFrame:
     if not 0 < k <= window:
         raise ValueError("an anchor is no longer than a window")
     anchors = cut_lineage(find_anchors(docs, window, k), "anchors")
-    # anchors that occur once are no seeds
-    more = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    # anchors that occur once are no seeds. Counts are written before they are joined: next to
+    # a plain shuffle the join can split an anchor that a third of all documents share
+    more = cut_lineage(anchors.groupBy("anchor").agg(F.count("*").alias("n"))
+                       .filter("n > 1").drop("n"), "repeated")
     seeds = cut_lineage(anchors.join(more, "anchor", "left_semi"), "seeds")
     here = F.xxhash64("id", "row")
-    reached = seeds.groupBy("anchor", "reach").agg(F.count("*").alias("n"),
-                                                   F.min(here).alias("first"))
-    several = reached.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    reached = cut_lineage(seeds.groupBy("anchor", "reach").agg(
+        F.count("*").alias("n"), F.min(here).alias("first")), "reached")
+    several = cut_lineage(reached.groupBy("anchor").agg(F.count("*").alias("n"))
+                          .filter("n > 1").drop("n"), "several")
     seeded = seeds.join(reached, ["anchor", "reach"])
     settled = seeded.filter("n > 1").select("id", "row", "low", "high")
     # of a settled extension one document stands for all
     unsettled = (seeded.filter((F.col("n") == 1) | (here == F.col("first")))
                  .join(several, "anchor", "left_semi").select("id", "row", "low", "high", "anchor"))
     windows = cut_lineage(_govern(docs, unsettled, window), "windows")
-    again = windows.groupBy("anchor", "whole").agg(F.count("*").alias("n")).filter("n > 1")
+    again = cut_lineage(windows.groupBy("anchor", "whole").agg(F.count("*").alias("n"))
+                        .filter("n > 1").drop("n"), "again")
     found = windows.join(again, ["anchor", "whole"], "left_semi").select(
         "id", "row", F.col("start").alias("low"), F.col("start").alias("high"))
     return settled.unionByName(found)
