@@ -32,7 +32,7 @@ BUCKETS = 1 << 20
 HEADS, TAILS = (3, 4, 5, 6), (4,)
 PER_WORD = 1 + len(HEADS) + len(TAILS)
 #: Bounds of the training sample: labelled documents of each class, words that the field sees.
-MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 1500, 6000, 1_000_000
+MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 1500, 6000, 600_000
 #: A feature tells toxic words from others by at least this odds ratio and G statistic.
 ODDS, EVIDENCE = 20.0, 24.0
 EDGE = ".,;:!?\"'()[]{}<>*_-|/\\"
@@ -42,16 +42,20 @@ FLOOR = 0.1
 
 def features(words: Sequence[str]) -> np.ndarray:
     """Feature buckets of each word, PER_WORD columns; a word too short for one repeats its form."""
-    digest, out = xxhash.xxh32_intdigest, []
-    for word in words:
-        core = word.lower().strip(EDGE) or word
-        whole = digest("=" + core)
-        out.append(whole)
-        for n in HEADS:
-            out.append(digest("^" + core[:n], n) if len(core) > n else whole)
-        for n in TAILS:
-            out.append(digest("$" + core[-n:], n) if len(core) > n else whole)
-    return (np.array(out, dtype=np.int64) & (BUCKETS - 1)).reshape(-1, PER_WORD)
+    digest, table = xxhash.xxh32_intdigest, np.empty((len(words), PER_WORD), dtype=np.int32)
+    for start in range(0, len(words), 20_000):
+        out = []
+        for word in words[start:start + 20_000]:
+            core = word.lower().strip(EDGE) or word
+            whole = digest("=" + core)
+            out.append(whole)
+            for n in HEADS:
+                out.append(digest("^" + core[:n], n) if len(core) > n else whole)
+            for n in TAILS:
+                out.append(digest("$" + core[-n:], n) if len(core) > n else whole)
+        table[start:start + 20_000] = (np.array(out, dtype=np.int64) & (BUCKETS - 1)).reshape(
+            -1, PER_WORD)
+    return table
 
 
 def run_chain(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -249,8 +253,9 @@ def fit(texts: Sequence[str], labels: Sequence[int]) -> Model | None:
         return None
     words: dict[str, int] = {}
     docs = [np.array([words.setdefault(w, len(words)) for w in WORD_RE.findall(t or "")],
-                     dtype=np.int64) for t in texts]
-    table = features(list(words)) if words else np.zeros((0, PER_WORD), np.int64)
+                     dtype=np.int32) for t in texts]
+    table = features(list(words))
+    words.clear()
     order = np.random.default_rng(0).permutation(len(table))
     df, count, known = np.zeros((2, BUCKETS)), [0, 0], set()
     for doc, label in zip(docs, labels):
@@ -270,10 +275,12 @@ def fit(texts: Sequence[str], labels: Sequence[int]) -> Model | None:
     mixed = np.concatenate([np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)])[turn]
     size = np.cumsum([len(docs[i]) for i in mixed])
     chosen = mixed[:max(2, int(np.searchsorted(size, MOST_WORDS)))]
-    codes = np.concatenate([docs[i] for i in chosen]) if len(chosen) else np.zeros(0, np.int64)
+    codes = np.concatenate([docs[i] for i in chosen])
     ends = np.cumsum([len(docs[i]) for i in chosen])
     toxic = np.repeat(labels[chosen], [len(docs[i]) for i in chosen])
-    crf = fit_field(codes, table, ends, (toxic & marked[codes]).astype(np.float64))
+    tags = (toxic & marked[codes]).astype(np.float64)
+    there, codes = np.unique(codes, return_inverse=True)
+    crf = fit_field(codes, table[there], ends, tags)
     emission = crf.emission(table)
     signs = []
     for i in range(0, len(docs), 500):
