@@ -176,14 +176,32 @@ def _(spark, d):
     hits = view(spark, d, "fx_hits").select(
         F.regexp_extract("global_id", r"(\d+)$", 1).cast("bigint").alias("project_key"),
         "term_ord", "start_pos", "pos", "event_id")
-    landing, path = work_folder(spark, "landing"), work_folder(spark, "hits")
+    landing, path, compacted = (work_folder(spark, x) for x in ("landing", "hits", "compacted"))
     # later terms land first, so a stored first hit has to give way to an earlier term
     hits.repartitionByRange(3, F.desc("term_ord")).write.parquet(landing)
-    refresh.create_table(spark.createDataFrame([], HIT), path, 8)
     source = ingest.landed(spark, landing, HIT, "*.parquet", files=1)
     ingest.run_available(
-        spark, source, lambda df: ingest.merge_first_hits(df.sparkSession, path, HIT, df, 8),
+        spark, source, lambda df, number: ingest.append_first_hits(path, HIT, df, number),
         work_folder(spark, "progress"))
+    ingest.compact(spark, path, compacted, HIT)
+    return ingest.read_first_hits(spark, compacted, HIT)
+
+
+@query("merged_ingest", with_views("fx_hits", """
+    SELECT CAST(regexp_extract(global_id, '(\\d+)$', 1) AS BIGINT) AS project_key, term_ord, start_pos,
+           pos, event_id
+    FROM fx_hits
+    QUALIFY row_number() OVER (PARTITION BY global_id ORDER BY term_ord, start_pos, pos) = 1"""
+                                      .replace("\\\\", "\\")))
+def _(spark, d):
+    """The same hits in two batches, each merged into the stored table."""
+    hits = view(spark, d, "fx_hits").select(
+        F.regexp_extract("global_id", r"(\d+)$", 1).cast("bigint").alias("project_key"),
+        "term_ord", "start_pos", "pos", "event_id")
+    path = work_folder(spark, "hits")
+    refresh.create_table(spark.createDataFrame([], HIT), path, 8)
+    for part in ("term_ord > 2", "term_ord <= 2"):
+        ingest.merge_first_hits(spark, path, HIT, hits.filter(part), 8)
     return refresh.read_table(spark, path, HIT)
 
 
