@@ -156,24 +156,30 @@ def shape_mismatches(records: DataFrame, key: str, record: str) -> DataFrame:
         values = F.try_variant_get(record, f"$.{section}" if section else "$", "map<string,variant>")
         sections.append(F.struct(F.lit(f"{section}." if section else "").alias("prefix"),
                                  expected.alias("fields"), values.alias("values")))
-    rows = (
-        records.select(key, F.explode(F.array(*sections)).alias("s")).filter("s.values IS NOT NULL")
-        .select(key, "s.prefix", "s.values", F.explode("s.fields").alias("f"))
-        .select(key, F.concat("prefix", "f.name").alias("path"), "f.expected",
-                F.try_element_at("values", F.col("f.name")).alias("_v"))
-        .withColumn("actual", _type_name(F.col("_v"))).drop("_v")
-    )
-    scalar = F.col("expected").isin("str", "bool", "int")
-    fits = (
-        (F.col("expected") == "any") | (F.col("actual") == F.col("expected"))
-        | (scalar & (F.col("actual") == "NoneType"))
-        | ((F.col("expected") == "int") & (F.col("actual") == "bool"))
-    )
-    return rows.filter(F.col("actual").isNull() | ~fits).select(
-        key, "path",
-        F.when(F.col("actual").isNull(), F.lit("missing key")).otherwise(F.concat(
-            F.lit("expected "), "expected", F.lit(", got "), "actual")).alias("problem"),
-        F.when(F.col("actual").isNull(), F.lit("warning")).otherwise(F.lit("error")).alias("level"))
+
+    def departs(m):
+        expected, actual = m["expected"], m["actual"]
+        fits = (
+            (expected == "any") | (actual == expected)
+            | (expected.isin("str", "bool", "int") & (actual == "NoneType"))
+            | ((expected == "int") & (actual == "bool")))
+        return actual.isNull() | ~fits
+
+    # compared inside the row: only what departs becomes a row
+    def compared(s):
+        fields = F.transform(s["fields"], lambda f: F.struct(
+            F.concat(s["prefix"], f["name"]).alias("path"), f["expected"].alias("expected"),
+            _type_name(F.try_element_at(s["values"], f["name"])).alias("actual")))
+        return F.filter(fields, departs)
+
+    there = F.filter(F.array(*sections), lambda s: s["values"].isNotNull())
+    rows = records.select(key, F.explode(F.flatten(F.transform(there, compared))).alias("m"))
+    missing = F.col("m.actual").isNull()
+    return rows.select(
+        key, F.col("m.path").alias("path"),
+        F.when(missing, F.lit("missing key")).otherwise(F.concat(
+            F.lit("expected "), "m.expected", F.lit(", got "), "m.actual")).alias("problem"),
+        F.when(missing, F.lit("warning")).otherwise(F.lit("error")).alias("level"))
 
 
 def entry_shapes(records: DataFrame, key: str, record: str) -> DataFrame:
