@@ -5,7 +5,9 @@ holds too much of the sample is cut in two until the lists are balanced. Every
 vector goes to the list of its nearest centroid; a vector near a boundary is
 replicated to further lists whose centroid is about as near. Nearest centroids are found on an in-memory neighbour graph by beam search, many
 vectors at a time. A query reads the lists whose centroid is within a ratio of
-its nearest centroid's distance, and the distances there are exact.
+its nearest centroid's distance, and the distances there are exact. The first
+few lists give each query a bound, the distance of its k-th nearest there; the
+others only answer with what is within it.
 
 The index is bounded: at most MOST_LISTS centroids. Posting lists are data of
 any size; a long one is cut into shards that its queries visit one by one.
@@ -39,6 +41,7 @@ class Settings:
     prune: float = 1.17  # read lists at most this much further than the nearest
     degree: int = 24
     beam: int = 512
+    first: int = 4  # lists that are read before a query has a bound
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -235,32 +238,48 @@ def search(vectors: DataFrame, is_query, k: int = 10, key: str = "vec_id",
     postings = (assigned.select("vec_id", "vec", F.explode(F.col("lists").cast("array<long>")).alias("list"))
                 .join(F.broadcast(counted), "list")
                 .withColumn("shard", F.pmod(F.xxhash64("vec_id"), shards).cast("int")).drop("n"))
-    asked = (all_rows.filter(is_query(F.col("vec_id")))
-             .select(F.col("vec_id").alias("query_id"), F.col("vec").alias("asked"),
-                     F.explode(read_by("vec")).alias("read"))
-             .select("query_id", "asked", F.col("read.list").cast("long").alias("list"),
-                     F.explode(F.sequence(F.lit(0), F.col("read.shards") - 1)).alias("shard")))
+    routed = cut_lineage(all_rows.filter(is_query(F.col("vec_id"))).select(
+        F.col("vec_id").alias("query_id"), F.col("vec").alias("asked"),
+        read_by("vec").alias("read")), "queries")
 
     def nearest(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(held):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         points, names = stack(held["vec"]), held["vec_id"].to_numpy(np.int64)
         out = []
-        for query, vec in zip(queries["query_id"], queries["asked"]):
+        for query, vec, bound in zip(queries["query_id"], queries["asked"], queries["bound"]):
             # exact, in double precision
             gap = np.sqrt(((points - np.asarray(vec, dtype=np.float64)) ** 2).sum(1))
-            gap[names == query] = np.inf
+            within = np.flatnonzero((names != query) & (gap <= bound))
             # the copies of an id may not crowd others out
-            order = np.lexsort((names, gap))
-            order = order[gap[order] < np.inf]
+            order = within[np.lexsort((names[within], gap[within]))]
             _, first = np.unique(names[order], return_index=True)
             best = order[np.sort(first)[:k]]
             out.append(pd.DataFrame({"query_id": query, "vec_id": names[best], "score": gap[best]}))
         return pd.concat(out, ignore_index=True)
 
-    found = asked.groupBy("list", "shard").cogroup(postings.groupBy("list", "shard")).applyInPandas(
-        nearest, "query_id long, vec_id long, score double")
-    ranked = (found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-              .withColumn("rank", F.row_number().over(
-                  Window.partitionBy("query_id").orderBy("score", "vec_id"))))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def read(queries: DataFrame, some) -> DataFrame:
+        """What the queries (query_id, asked, read, bound) find in some of their lists."""
+        asked = (queries.select("query_id", "asked", "bound", F.posexplode("read").alias("place", "r"))
+                 .filter(some(F.col("place")))
+                 .select("query_id", "asked", "bound", F.col("r.list").cast("long").alias("list"),
+                         F.explode(F.sequence(F.lit(0), F.col("r.shards") - 1)).alias("shard")))
+        return asked.groupBy("list", "shard").cogroup(postings.groupBy("list", "shard")
+                                                      ).applyInPandas(
+            nearest, "query_id long, vec_id long, score double")
+
+    def best(found: DataFrame) -> DataFrame:
+        return (found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+                .withColumn("rank", F.row_number().over(
+                    Window.partitionBy("query_id").orderBy("score", "vec_id")))
+                .filter(F.col("rank") <= k))
+
+    nothing = F.lit(float("inf"))
+    near = cut_lineage(best(read(routed.withColumn("bound", nothing), lambda i: i < set_.first))
+                       .drop("rank"), "nearest")
+    bounds = near.groupBy("query_id").agg(F.when(F.count("*") == k, F.max("score"))
+                                          .otherwise(nothing).alias("bound"))
+    others = routed.join(bounds, "query_id", "left").withColumn(
+        "bound", F.coalesce("bound", nothing))
+    ranked = best(near.unionByName(read(others, lambda i: i >= set_.first)))
+    return ranked.select("query_id", "rank", "vec_id", "score")

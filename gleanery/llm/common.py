@@ -26,7 +26,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def runs_of(texts: Sequence[str], most_chars: int = 4_000_000) -> Iterator[slice]:
+def runs_of(texts: Sequence[str], most_chars: int = 1_500_000) -> Iterator[slice]:
     """Slices of a batch whose texts together hold about `most_chars`; a longer text is alone."""
     start, held = 0, 0
     for i, text in enumerate(texts):

@@ -32,7 +32,7 @@ BUCKETS = 1 << 20
 HEADS, TAILS = (3, 4, 5, 6), (4,)
 PER_WORD = 1 + len(HEADS) + len(TAILS)
 #: Bounds of the training sample: labelled documents of each class, words that the field sees.
-MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 1500, 6000, 600_000
+MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 1500, 6000, 400_000
 #: A feature tells toxic words from others by at least this odds ratio and G statistic.
 ODDS, EVIDENCE = 20.0, 24.0
 EDGE = ".,;:!?\"'()[]{}<>*_-|/\\"
@@ -184,7 +184,7 @@ class Model:
         scores, spans = [], []
         for part in runs_of(texts):
             codes, distinct, ends = coded_words(texts[part])
-            if len(self.known) > 400_000:  # a bound of memory, not of results
+            if len(self.known) > 200_000:  # a bound of memory, not of results
                 self.known.clear()
             new = [w for w in distinct if w not in self.known]
             if new:
@@ -233,6 +233,8 @@ def _curve(signs: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 def telling(df_toxic: np.ndarray, df_clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
     """Which feature buckets tell toxic documents: odds ratio and G statistic both high."""
+    often = np.flatnonzero(df_toxic > 2)
+    df_toxic, df_clean, out = df_toxic[often], df_clean[often], np.zeros(len(df_toxic), dtype=bool)
     rate1, rate0 = (df_toxic + 0.5) / (n_toxic + 1), (df_clean + 0.5) / (n_clean + 1)
     both = (df_toxic + df_clean) / max(n_toxic + n_clean, 1)
     g = np.zeros(len(df_toxic))
@@ -240,7 +242,8 @@ def telling(df_toxic: np.ndarray, df_clean: np.ndarray, n_toxic: int, n_clean: i
         for count, share in ((seen, both), (n - seen, 1 - both)):
             with np.errstate(divide="ignore", invalid="ignore"):
                 g += np.where(count > 0, 2 * count * np.log(count / (n * share)), 0.0)
-    return (rate1 / rate0 >= ODDS) & (g >= EVIDENCE)
+    out[often] = (rate1 / rate0 >= ODDS) & (g >= EVIDENCE)
+    return out
 
 
 def fit(texts: Sequence[str], labels: Sequence[int]) -> Model | None:
@@ -248,46 +251,39 @@ def fit(texts: Sequence[str], labels: Sequence[int]) -> Model | None:
 
     Copies of a text count once as evidence. None without texts of both classes.
     """
-    labels = np.asarray(labels, dtype=np.int64)
+    texts, labels = [t or "" for t in texts], np.asarray(labels, dtype=np.int64)
     if not 0 < labels.sum() < len(labels):
         return None
-    words: dict[str, int] = {}
-    docs = [np.array([words.setdefault(w, len(words)) for w in WORD_RE.findall(t or "")],
-                     dtype=np.int32) for t in texts]
-    table = features(list(words))
-    words.clear()
-    order = np.random.default_rng(0).permutation(len(table))
     df, count, known = np.zeros((2, BUCKETS)), [0, 0], set()
-    for doc, label in zip(docs, labels):
-        distinct = np.unique(doc)
+    size = np.zeros(len(texts), dtype=np.int64)
+    for part in runs_of(texts):
+        codes, distinct, ends = coded_words(texts[part])
+        table, start = features(distinct), 0
         # near copies share the first words of a random order of all words
-        mark = (label, *np.sort(order[distinct])[:4].tolist())
-        if mark in known:
-            continue
-        known.add(mark)
-        count[label] += 1
-        df[label][np.unique(table[distinct])] += 1
+        order = table[:, 0].astype(np.int64) * 0x9E3779B1 & 0xFFFFFFFF
+        for i, end in enumerate(ends.tolist(), part.start):
+            words = np.unique(codes[start:end])
+            size[i], start = end - start, end
+            mark = (labels[i], *np.sort(order[words])[:4].tolist())
+            if mark not in known:
+                known.add(mark)
+                count[labels[i]] += 1
+                df[labels[i]][np.unique(table[words])] += 1
     tells = telling(df[1], df[0], count[1], count[0])
-    marked = tells[table].any(axis=1)
     # the field sees whole documents of both classes in turn, up to the bound of words
     turn = np.argsort(np.concatenate([np.arange((labels == 1).sum()), np.arange((labels == 0).sum())]),
                       kind="stable")
     mixed = np.concatenate([np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)])[turn]
-    size = np.cumsum([len(docs[i]) for i in mixed])
-    chosen = mixed[:max(2, int(np.searchsorted(size, MOST_WORDS)))]
-    codes = np.concatenate([docs[i] for i in chosen])
-    ends = np.cumsum([len(docs[i]) for i in chosen])
-    toxic = np.repeat(labels[chosen], [len(docs[i]) for i in chosen])
-    tags = (toxic & marked[codes]).astype(np.float64)
-    there, codes = np.unique(codes, return_inverse=True)
-    crf = fit_field(codes, table[there], ends, tags)
-    emission = crf.emission(table)
+    chosen = mixed[:max(2, int(np.searchsorted(np.cumsum(size[mixed]), MOST_WORDS)))]
+    codes, distinct, ends = coded_words([texts[i] for i in chosen])
+    table, toxic = features(distinct), np.repeat(labels[chosen], size[chosen])
+    crf = fit_field(codes, table, ends, (toxic & tells[table].any(axis=1)[codes]).astype(np.float64))
     signs = []
-    for i in range(0, len(docs), 500):
-        some = docs[i:i + 500]
-        flat = np.concatenate(some)
-        upto = np.cumsum([len(d) for d in some])
-        signs.append(document_signs(crf.marginals(emission[flat], upto), upto))
+    for part in runs_of(texts):
+        codes, distinct, ends = coded_words(texts[part])
+        emission = crf.emission(features(distinct))
+        signs.append(document_signs(crf.marginals(
+            emission[codes] if len(codes) else np.zeros(0), ends), ends))
     return Model(crf, _curve(np.concatenate(signs), labels))
 
 
