@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gleanery.session import cut_lineage
 
-from .common import WORD_RE, components
+from .common import WORD_RE, components, partitions
 
 SEED = 42
 BITS = 4
@@ -133,7 +133,9 @@ def links(prints: DataFrame, bits: int = BITS, groups: int = GROUPS) -> DataFram
     if not 0 <= bits < groups <= 32:
         raise ValueError("there must be more groups than bits, and at most 32")
     vector = embedding(F.col("fp"))
-    cells = prints.select("fp", F.explode(F.array(*[
+    # a fingerprint becomes many rows: spread the few bytes first
+    spread = prints.select("fp").repartition(partitions(prints.sparkSession), "fp")
+    cells = spread.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("part"), vector.bitwiseAND(F.lit(m)).alias("counts"))
         for i, m in enumerate(cell_masks(bits, groups))])).alias("cell"))
     cells = cells.select("cell.part", "cell.counts", "fp")
