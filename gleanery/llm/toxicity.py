@@ -246,6 +246,22 @@ def telling(df_toxic: np.ndarray, df_clean: np.ndarray, n_toxic: int, n_clean: i
     return out
 
 
+def within(sizes: np.ndarray, labels: np.ndarray, most: int) -> np.ndarray:
+    """Which documents the field sees: in order, each that fits in what is left of `most` words.
+
+    One that does not fit is passed over. A class of which none fits is there
+    with its shortest document, the only case in which there are more words.
+    """
+    chosen, left = np.zeros(len(sizes), dtype=bool), most
+    for i, n in enumerate(sizes.tolist()):
+        if n <= left:
+            chosen[i], left = True, left - n
+    for of in (labels == 1, labels == 0):
+        if of.any() and not chosen[of].any():
+            chosen[np.flatnonzero(of)[sizes[of].argmin()]] = True
+    return np.flatnonzero(chosen)
+
+
 def fit(texts: Sequence[str], labels: Sequence[int]) -> Model | None:
     """The model of labelled texts, whole texts in an order that does not follow the labels.
 
@@ -274,7 +290,7 @@ def fit(texts: Sequence[str], labels: Sequence[int]) -> Model | None:
     turn = np.argsort(np.concatenate([np.arange((labels == 1).sum()), np.arange((labels == 0).sum())]),
                       kind="stable")
     mixed = np.concatenate([np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)])[turn]
-    chosen = mixed[:max(2, int(np.searchsorted(np.cumsum(size[mixed]), MOST_WORDS)))]
+    chosen = mixed[within(size[mixed], labels[mixed], MOST_WORDS)]
     codes, distinct, ends = coded_words([texts[i] for i in chosen])
     table, toxic = features(distinct), np.repeat(labels[chosen], size[chosen])
     crf = fit_field(codes, table, ends, (toxic & tells[table].any(axis=1)[codes]).astype(np.float64))

@@ -150,3 +150,23 @@ def test_toxicity_without_labels(spark):
     assert [(r.score, r.predicted, r.spans) for r in toxicity.score(docs, model).collect()] == [(0.0, 0, [])] * 2
     only = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     assert toxicity.train(docs, only) is None
+
+
+def test_long_documents_do_not_end_the_sample():
+    sizes, labels = np.array([3, 900, 4, 5, 90, 2]), np.array([1, 0, 1, 0, 1, 0])
+    assert toxicity.within(sizes, labels, 100).tolist() == [0, 2, 3, 5]
+    assert toxicity.within(sizes[::-1], labels[::-1], 97).tolist() == [0, 1, 2]
+    # a class of which no document fits
+    assert toxicity.within(np.array([900, 800, 3]), np.array([1, 1, 0]), 10).tolist() == [1, 2]
+
+
+def test_the_field_sees_the_documents_behind_a_long_one(monkeypatch):
+    rows, labels = toxic_corpus()
+    toxic = dict(labels)
+    seen, field = [], toxicity.fit_field
+    monkeypatch.setattr(toxicity, "MOST_WORDS", 5000)
+    monkeypatch.setattr(toxicity, "fit_field", lambda codes, table, ends, y: seen.append(
+        (len(ends), len(codes))) or field(codes, table, ends, y))
+    texts, marks = [t for _, t in rows], [toxic.get(i, 0) for i, _ in rows]
+    toxicity.fit([" ".join(f"long{i}" for i in range(6000))] + texts, [0] + marks)
+    assert seen[0][0] > 20 and seen[0][1] <= 5000
