@@ -394,7 +394,7 @@ def _(spark, d):
            'https://h/web/ICPSR/studies/' || CAST(c_custkey AS VARCHAR) || '/summary' AS url
     FROM customer WHERE c_custkey % 3 = 2""")
 def _(spark, d):
-    tree = pages.parse_pages(search_page(spark, d).filter(F.col("page_id") % 3 == 2))
+    tree = pages.parse_pages(search_page(spark, d))
     return pages.study_links(pages.links(tree, "page_id"), "page_id").drop("place")
 
 
