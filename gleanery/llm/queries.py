@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, mixing, packing, preference, sharding, simhash, substring, token_store, toxicity
+from . import (
+    ann, exact_dedup, filter_audit, mixing, packing, preference, sharding, simhash, substring, token_store, toxicity,
+)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -155,3 +157,50 @@ def op10_toxicity(spark, folder):
     model = toxicity.train(docs, table(spark, folder, "labels"))
     return toxicity.score(docs, model).select(
         "row.doc_id", toxicity.held_out("row.doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op13_filter_audit", r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+flags AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS f
+  FROM docs LEFT JOIN marks USING (doc_id)),
+held AS (SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+                count(*) FILTER (WHERE toxic) AS toxic FROM flags GROUP BY part, f),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS prior
+  FROM orders, (SELECT unnest(range(1, 6))::INTEGER AS step)),
+told AS (
+  SELECT part, filter_order, step, x, n, good, toxic, f,
+         f = '' OR NOT regexp_matches(f, '[' || prior || x || ']') AS stays,
+         contains(f, x) AS fails, prior <> '' AND regexp_matches(f, '[' || prior || '-]') AS gone
+  FROM steps, held),
+figures AS (
+  SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (WHERE stays), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE fails AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE fails AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE f = x), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE fails AND NOT gone), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE fails AND NOT gone), 0) AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM figures
+""")
+def op13_filter_audit(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return filter_audit.audit(docs, table(spark, folder, "labels"))
