@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import (
-    ann, exact_dedup, filter_audit, mixing, packing, preference, sharding, simhash, substring, token_store, toxicity,
+    ann, code_compression, exact_dedup, filter_audit, mixing, packing, preference, sharding, simhash, substring,
+    token_store, toxicity,
 )
 
 QUERIES: dict = {}
@@ -159,6 +160,46 @@ def op10_toxicity(spark, folder):
         "row.doc_id", toxicity.held_out("row.doc_id").alias("held_out"), "score", "predicted")
 
 
+@query("op12_code_compression", """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT vec_id, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x
+  FROM kept, (SELECT unnest(range(16)) AS p)),
+firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64),
+book0 AS (SELECT p, e, x AS c FROM parts JOIN firsts USING (vec_id)),
+""" + "".join(f"""
+near{i} AS (
+  SELECT vec_id, p, x, min(far * 64 + e) % 64 AS e, min(far * 64 + e) // 64 AS far
+  FROM (SELECT vec_id, parts.p, x, e,
+               list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS far
+        FROM parts JOIN book{i} ON book{i}.p = parts.p)
+  GROUP BY vec_id, p, x),
+""" + (f"""
+sums{i} AS (
+  SELECT p, e, j, sum(x[j])::BIGINT AS s, count(*) AS n
+  FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS j FROM near{i}) GROUP BY p, e, j),
+moved{i} AS (
+  SELECT p, e, list((s - (s % n + n) % n) // n ORDER BY j) AS c FROM sums{i} GROUP BY p, e),
+book{i + 1} AS (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{i} b LEFT JOIN moved{i} m USING (p, e)),
+""" if i < 2 else "") for i in range(3)) + """
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e::INTEGER), '' ORDER BY p) AS code, sum(far)::BIGINT AS error
+  FROM near2 GROUP BY vec_id),
+hashed AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), hashed
+""")
+def op12_code_compression(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    coded = code_compression.with_group_error(code_compression.compress(vectors), "label")
+    return coded.select("row.vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 @query("op13_filter_audit", r"""
 WITH docs AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
