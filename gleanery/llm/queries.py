@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     ann, code_compression, exact_dedup, filter_audit, mixing, packing, preference, sharding, simhash, substring,
-    token_store, toxicity,
+    token_counts, token_store, toxicity,
 )
 
 QUERIES: dict = {}
@@ -160,6 +160,13 @@ def op10_toxicity(spark, folder):
         "row.doc_id", toxicity.held_out("row.doc_id").alias("held_out"), "score", "predicted")
 
 
+@query("op11_token_counts")
+def op11_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary(), limit=1024).select(
+        "row.doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 @query("op12_code_compression", """
 WITH kept AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
