@@ -138,8 +138,9 @@ def frequent_pieces(docs: DataFrame, text: str = "text", most: int = MOST_FREQUE
     sketches = pieces.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("merge")).agg(
         F.expr(f"approx_top_k_accumulate(piece, {tracked})").alias("sketch"))
     # grouped, as without any sketch there is nothing to combine
-    found = sketches.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(
-        F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top")).first()
+    merged = sketches.withColumn("all", F.lit(0)).groupBy("all").agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top")).first()
     return [r.item for r in found.top] if found else []
 
 
