@@ -29,7 +29,7 @@ def test_query_equals_its_sql(spark, monkeypatch, name):
 
 def test_each_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def stages(spark):
