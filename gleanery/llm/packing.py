@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from gleanery.session import cut_lineage
 
-from .common import bucket_of
-from .tokens import encoded
+from .common import bucket_of, ragged
+from .tokens import encoded_runs
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -40,21 +40,23 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: in
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, piece, start, length, crc = [], [], [], [], []
             texts = batch.column("text").to_pylist()
-            for at, ids in enumerate(encoded(tokenizer, texts, end_id)):
-                raw, first = ids.astype("<u4").tobytes(), len(ids) % capacity or capacity
-                cuts = [0, *range(first, len(ids) + 1, capacity)]
-                for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    row.append(at)
-                    piece.append(i)
-                    start.append(a)
-                    length.append(b - a)
-                    crc.append(zlib.crc32(raw[4 * a:4 * b]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-                 *[pa.array(x, pa.int64()) for x in (start, length, crc)]],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for part, ids, ends in encoded_runs(tokenizer, texts, end_id):
+                begins = np.concatenate([[0], ends[:-1]])
+                size = ends - begins
+                many = -(-size // capacity)
+                row = np.repeat(np.arange(len(size)), many)
+                piece = ragged(np.zeros_like(many), many)
+                # the first piece is what is over beside whole ones
+                spare = (many * capacity - size)[row]
+                start = np.maximum(piece * capacity - spare, 0)
+                length = (piece + 1) * capacity - spare - start
+                raw, at = memoryview(ids).cast("B"), (begins[row] + start) * 4
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(row + part.start)), pa.array(piece.astype(np.int32)),
+                     pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"),
                        F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(pieces, PIECES)

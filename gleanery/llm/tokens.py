@@ -135,3 +135,18 @@ def encoded(path: str, texts: Sequence[str | None], end_id: int) -> Iterator[np.
         for end in ends.tolist():
             yield np.concatenate([ids[start:end], last])
             start = end
+
+
+def encoded_runs(path: str, texts: Sequence[str | None], end_id: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """For runs of texts: (their slice, the ids of all in a row with `end_id` behind each text, as
+    little-endian unsigned 32-bit integers, and the ends of the texts in it)."""
+    coder = encoder(path)
+    texts = [t if isinstance(t, str) else "" for t in texts]
+    for part in runs_of(texts):
+        ids, ends = coder.encode(texts[part])
+        ends = ends + np.arange(1, len(ends) + 1)
+        out = np.empty(len(ids) + len(ends), dtype="<u4")
+        inside = np.ones(len(out), dtype=bool)
+        inside[ends - 1] = False
+        out[inside], out[ends - 1] = ids, end_id
+        yield part, out, ends
