@@ -20,5 +20,5 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     from gleanery.checks import (  # noqa: F401
-        documents, pages, records, relational, scalars, store, studies,
+        documents, pages, records, relational, scalars, store, studies, wholes,
     )

@@ -152,3 +152,79 @@ REQUIRED = [
     "title", "generated_at_utc", "identifiers.study_id", "provenance.repository",
     "provenance.repository_url", "provenance.page_type", "provenance.schema_version",
 ]
+
+# The fields of the entries of a record's lists, by kind.
+ENTRIES = {
+    "identifier": {"text": ["type", "value"], "url": ["url"]},
+    "contributor": {"text": ["name", "role", "affiliation", "orcid"], "url": ["url"]},
+    "funding": {"text": ["funder_name", "identifier", "grant_number", "display"], "url": ["url"]},
+    "publication": {
+        "text": ["title", "journal", "year", "citation"], "doi": ["doi"], "list": ["authors"],
+        "url": ["url"]},
+    "version": {
+        "text": ["version", "published_date", "modified_date", "label"], "url": ["url"],
+        "flag": ["is_current"]},
+    "file": {
+        "text": [
+            "title", "file_name", "file_stem", "file_format", "file_extension", "mime_type",
+            "file_content", "file_category", "file_description", "checksum", "checksum_type",
+            "required_for_bundle", "resource_uuid", "parent_path", "folder_path", "last_modified",
+            "display_size", "language", "source", "dataset_identifier", "file_id",
+        ],
+        "url": ["uri", "download_url", "api_url"],
+        "list": ["include_in_bundle", "dataset_format_flags", "terms_of_use"],
+        "flag": ["public", "listed_on_public_page", "downloadable", "deliver_download"],
+        "number": ["dataset_number", "raw_occurrence_count"]},
+    "page": {
+        "text": ["page_name", "fetch_method"], "url": ["requested_url", "final_url"],
+        "number": ["status_code"]},
+    "endpoint": {"text": ["name", "content_type"], "url": ["url"], "number": ["status_code"]},
+}
+# Which lists of a record hold entries, all others hold texts.
+ENTRY_LISTS = {
+    "contributors": "contributor", "funding": "funding", "versions": "version",
+    "identifiers.other_identifiers": "identifier", "publications.items": "publication",
+    "files.raw_files": "file", "files.unique_files": "file", "files.downloadable_files": "file",
+    "files.documentation_files": "file", "files.data_files": "file", "files.setup_files": "file",
+    "files.other_files": "file", "provenance.html_pages_fetched": "page",
+    "provenance.api_endpoints_called": "endpoint",
+}
+# Fields of kind `any` that are numbers or texts; the others are tri-state flags.
+ANY_NUMBERS = ["files.status_code", "variables.count", "publications.count"]
+ANY_TEXTS = ["source_specific.raw_jsonld"]
+
+
+def entry_type(kind: str) -> T.StructType:
+    """The type of one entry; a fileset is the one that holds entries itself."""
+    if kind == "fileset":
+        return _struct(dataset_number=_L, identifier=_S, title=_S, description=_S, file_count=_L,
+                       files=T.ArrayType(entry_type("file")))
+    of = {"text": _S, "url": _S, "doi": _S, "list": T.ArrayType(_S), "flag": _B, "number": _L}
+    return _struct(**{n: of[k] for k, names in ENTRIES[kind].items() for n in names})
+
+
+def field_type(path: str, kind: str) -> T.DataType:
+    """The type of one declared field of a record."""
+    if path == "files.filesets":
+        return T.ArrayType(entry_type("fileset"))
+    if path in ENTRY_LISTS:
+        return T.ArrayType(entry_type(ENTRY_LISTS[path]))
+    if kind == "object":
+        if path in RECORD:
+            return record_type(path)
+        return T.MapType(_S, _L if path.startswith("files.") else _S)
+    if kind == "any":
+        return _L if path in ANY_NUMBERS else _S if path in ANY_TEXTS else _B
+    return {"text": _S, "list": T.ArrayType(_S), "flag": _B, "count": _L}[kind]
+
+
+def record_fields(section: str = "") -> list[tuple[str, str]]:
+    """(path, kind) of the fields of a section, in their declared order."""
+    return [(f"{section}.{n}" if section else n, kind)
+            for kind, names in RECORD[section].items() for n in names]
+
+
+def record_type(section: str = "") -> T.StructType:
+    """The declared shape as a type, every section in it."""
+    return T.StructType([T.StructField(path.split(".")[-1], field_type(path, kind))
+                         for path, kind in record_fields(section)])

@@ -83,6 +83,11 @@ STUDY_SUBPAGES = [
     "summary", "datadocumentation", "variables", "publications", "export", "terms",
 ]
 SCHEMA_VERSION = "1.0.0"
+# How a record names its parser and its own identifier.
+PARSER_VERSION = {
+    "icpsr": "2.3.0-datadoc-render-fallback", "openicpsr": "1.0.0", "datalumos": "1.0.0"}
+IDENTIFIER_TYPE = {
+    "icpsr": "ICPSR study_id", "openicpsr": "openICPSR project_id", "datalumos": "DataLumos project_id"}
 
 # Licence spellings.
 LICENSES = {
