@@ -57,4 +57,15 @@ def cut_lineage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """
     path = work_folder(df.sparkSession, purpose)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    cut = df.sparkSession.read.schema(df.schema).parquet(path)
+    cut.work_path = path
+    return cut
+
+
+def drop_work(*frames: DataFrame) -> None:
+    """Remove the files behind frames of `cut_lineage`, once nothing reads them any more."""
+    for df in frames:
+        spark, path = df.sparkSession, df.work_path
+        jvm = spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
