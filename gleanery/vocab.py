@@ -83,6 +83,8 @@ STUDY_SUBPAGES = [
     "summary", "datadocumentation", "variables", "publications", "export", "terms",
 ]
 SCHEMA_VERSION = "1.0.0"
+# Script variables that count whatever the inline metadata says.
+INLINE_NAMES = ["studyId", "versionLabel", "restrictedDataTypes", "title", "versionNumber"]
 # How a record names its parser and its own identifier.
 PARSER_VERSION = {
     "icpsr": "2.3.0-datadoc-render-fallback", "openicpsr": "1.0.0", "datalumos": "1.0.0"}
