@@ -259,7 +259,9 @@ def _(spark, d):
           FROM ({_API}), (SELECT unnest([1, 2]) AS idx) WHERE has_files AND {_terms_sql()})""")
 def _(spark, d):
     run = evaluated(spark, d)
-    log = run["files"].filter("idx = 1").select("file_id", F.lit(200).alias("http_status"))
+    tried = F.explode(F.array(*[F.struct(F.lit(i).alias("attempt"), F.lit(s).alias("http_status"))
+                                for i, s in enumerate((503, 401, 200))])).alias("t")
+    log = run["files"].filter("idx = 1").select("file_id", tried).select("file_id", "t.*")
     _, new = api_run.catalogue(run, log)
     return new["files"].select("project_key", "file_name", "file_type", "status")
 

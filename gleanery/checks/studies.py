@@ -96,7 +96,8 @@ def _(spark, d):
 def saved(spark, d):
     fetched = table(spark, d, "customer").select(
         F.col("c_custkey").cast("string").alias("study_id"), F.lit("Report.pdf").alias("file_name"),
-        F.lit("SUCCEEDED").alias("status"))
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt")).withColumn(
+        "status", F.when(F.col("attempt") == 2, "SUCCEEDED").otherwise("FAILED_TOO_LARGE"))
     return page_run.catalogue(run_of(spark, d), fetched, RUN, {"files": 500})[1]
 
 
@@ -176,7 +177,8 @@ def _(spark, d):
     SELECT {K} AS study_id, 'Codebook ' || {K} || '.pdf' AS file_name, 'pdf' AS file_type,
            'documentation' AS file_category FROM customer""")
 def _(spark, d):
-    return page_run.page_files(page_run.page_trees(listing(spark, d), "datalumos"), "datalumos")
+    found = page_run.page_files(page_run.page_trees(listing(spark, d), "datalumos"), "datalumos")
+    return found.drop("uri")
 
 
 @query("folder_versions", f"""

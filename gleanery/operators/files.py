@@ -204,15 +204,30 @@ def download_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def last_states(log: DataFrame, keys: list[str], state: str = "status") -> DataFrame:
+    """One row for each key of a fetch log: the state of its last attempt.
+
+    The column `attempt` orders the attempts; where a log has none, a success
+    counts over a failure.
+    """
+    known = F.col(state)
+    if "attempt" in log.columns:
+        last = F.max_by(known, F.struct("attempt", known))
+    else:
+        last = F.max_by(known, F.struct(F.coalesce(known.cast("string").isin("SUCCEEDED", "200"), F.lit(False)), known))
+    return log.groupBy(*keys).agg(last.alias(state))
+
+
 def file_states(files: DataFrame, log: DataFrame, keys: list[str]) -> DataFrame:
     """State of every file from the fetch log, matched by place and safe name.
 
-    A file the log does not know was never fetched and counts as unresponsive.
+    Of several attempts the last one counts. A file the log does not know was
+    never fetched and counts as unresponsive.
     """
     name = safe_file(F.coalesce(F.nullif(F.col("file_name"), F.lit("")), F.lit("download.bin")))
     left = files.withColumn("safe_name", name)
     return (
-        left.join(log, [*keys, "safe_name"], "left")
+        left.join(last_states(log, [*keys, "safe_name"]), [*keys, "safe_name"], "left")
         .withColumn("status", codes.file_status(F.coalesce("status", F.lit(""))))
     )
 

@@ -115,10 +115,10 @@ def violations(checked: DataFrame, key: str) -> DataFrame:
     return checked.select(key, rows.alias("v")).select(key, "v.*")
 
 
-def split_valid(checked: DataFrame, key: str, time: str) -> tuple[DataFrame, DataFrame]:
-    """Valid records, and the others as failure rows."""
+def split_valid(checked: DataFrame, key, time: str) -> tuple[DataFrame, DataFrame]:
+    """Valid records, and the others as failure rows under `key`, the key of their project."""
     bad = checked.filter(~F.col("valid")).select(
-        F.col(key).cast("bigint").alias("project_key"),
+        (F.col(key) if isinstance(key, str) else key).cast("bigint").alias("project_key"),
         F.concat(F.lit("Metadata record validation failed: "), F.array_join("errors", "; "))
         .alias("reason"), F.lit(time).alias("timestamp"))
     return checked.filter("valid"), bad

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import codes
 from gleanery.operators import dedupe, documents, signals, summary
+from gleanery.operators import files as file_ops
 from gleanery.schemas import TABLES
 from gleanery.session import cut_lineage
 
@@ -32,6 +33,12 @@ def first_hits(responses: DataFrame) -> DataFrame:
     return dedupe.first_wins(hits, ["global_id"], ["term_ord", "start_pos", "pos"])
 
 
+def last_landed(datasets: DataFrame) -> DataFrame:
+    """One document for each dataset: the last that landed, by `landed_at` where that is known."""
+    last = F.max_by("body", F.struct("landed_at", "body")) if "landed_at" in datasets.columns else F.max("body")
+    return datasets.groupBy("global_id").agg(last.alias("body"))
+
+
 def evaluate(
     hits: DataFrame, datasets: DataFrame, version_lists: DataFrame, config: ApiConfig
 ) -> dict[str, DataFrame]:
@@ -42,7 +49,7 @@ def evaluate(
     Projects with their signals, and versions, feed several tables each and are
     written once.
     """
-    fetched = hits.select("global_id", "term").join(datasets, "global_id", "left")
+    fetched = hits.select("global_id", "term").join(last_landed(datasets), "global_id", "left")
     rows = cut_lineage(documents.project_rows(
         fetched, "body", "term", config.repository_id, config.repository_url, config.folder,
         config.method, config.run_time), "projects")
@@ -65,7 +72,7 @@ def catalogue(
     A project is kept when it has files and qualifies. `fetch_log` has file_id
     and http_status; a file without an entry counts as unresponsive. `after`
     has the largest id of every stored table (`last_ids`), so that the new rows
-    get ids no stored row has.
+    get ids no stored row has. Of several attempts at a file the last one counts.
     """
     after = after or {}
     projects = evaluated["projects"]
@@ -77,7 +84,8 @@ def catalogue(
     versions = cut_lineage(number(
         "project_versions", evaluated["versions"].join(keys, "project_key", "left_semi"),
         "project_key", "version_no").withColumnRenamed("id", "version_key"), "versions")
-    states = fetch_log.select("file_id", codes.http_status_code("http_status").alias("status"))
+    states = file_ops.last_states(fetch_log, ["file_id"], "http_status").select(
+        "file_id", codes.http_status_code("http_status").alias("status"))
     files = (
         evaluated["files"].join(versions.select("project_key", "version_no", "version_key"),
                                 ["project_key", "version_no"])
@@ -101,7 +109,7 @@ def catalogue(
         "licenses": number(
             "licenses", kept.filter("license <> ''").select("project_key", "license"),
             "project_key"),
-        "failures": number("failures", evaluated["failures"], "reason"),
+        "failures": number("failures", evaluated["failures"], "project_key", "reason"),
     }
     return seen, {name: df.select(*TABLES[name].names) for name, df in new.items()}
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from gleanery import schemas, vocab
 from gleanery.functions import codes, urls
+from gleanery.functions.text import first_number
+from gleanery.operators import files as file_ops
 from gleanery.operators import pages as P
 from gleanery.operators import dedupe, quality, record, signals, versions
 from gleanery.schemas import TABLES
@@ -51,20 +53,21 @@ def _pages_of(routed: DataFrame, profile: str) -> DataFrame:
 
 
 def page_files(tree: DataFrame, profile: str) -> DataFrame:
-    """Files that the pages of a profile show, each name and type once per study."""
+    """Files that the pages of a profile show, each once per study: by URI where pages have one,
+    so that equal names in two folders stay two files, else by name and type."""
     if profile == "icpsr":
         found = P.merge_menus(P.dataset_menus(tree, "page_id"), "page_id").select(
             "page_id.study_id", "file_name", F.col("file_extension").alias("file_type"),
-            "file_category")
+            "file_category", F.lit("").alias("uri"))
     elif profile == "openicpsr":
         found = P.file_links(P.links(tree, "page_id"), "page_id").select(
             "page_id.study_id", "file_name", F.col("file_format").alias("file_type"),
-            "file_category")
+            "file_category", "uri")
     else:
         found = P.folder_table(tree, "page_id").filter("NOT is_folder").select(
             "page_id.study_id", "file_name", F.col("file_extension").alias("file_type"),
-            "file_category")
-    return found.filter("file_name <> ''").groupBy("study_id", "file_name", "file_type").agg(
+            "file_category", "uri")
+    return found.filter("file_name <> ''").groupBy("study_id", "file_name", "file_type", "uri").agg(
         F.min("file_category").alias("file_category"))
 
 
@@ -75,7 +78,8 @@ def listed_versions(tree: DataFrame, profile: str) -> DataFrame:
             [], "study_id string, place bigint, version string, published_date string, "
                 "is_current boolean")
     rows = P.published_versions(tree, "page_id")
-    place = F.col("page_id.page_ord").cast("bigint") * 1_000_000 + F.col("place")
+    # pages in the upper half, places on a page in the lower one
+    place = F.shiftleft(F.col("page_id.page_ord").cast("bigint"), 32) + F.col("place")
     return rows.groupBy("page_id.study_id", "version", "published_date").agg(
         F.min(place).alias("place")).select(
         "study_id", "place", "version", "published_date",
@@ -85,10 +89,11 @@ def listed_versions(tree: DataFrame, profile: str) -> DataFrame:
 def study_funding(tree: DataFrame, profile: str) -> DataFrame:
     """Funding of each study: inline entries over those of the JSON-LD."""
     listed = record.json_ld_funding(tree.select("study_id", "page_ord", "jsonld"))
-    variables = P.script_variables(tree, "page_id").select("*", "page_id.*")
-    inline = record.inline_funding(variables)
-    if profile != "icpsr":
-        inline = inline.limit(0)
+    if profile == "icpsr":
+        inline = record.inline_funding(P.script_variables(tree, "page_id").select("*", "page_id.*"))
+    else:  # these pages have no inline data
+        inline = tree.sparkSession.createDataFrame(
+            [], "study_id string, place int, funder_name string, identifier string, display string")
     return record.merge_funding(listed, inline)
 
 
@@ -231,19 +236,23 @@ def evaluate(
         "keywords": lists.filter("field = 'keywords'").select(
             "study_id", F.col("value").alias("keyword")).distinct().join(keys, "study_id"),
         "funding": study_funding(tree, profile).join(keys, "study_id"),
-        "failures": quality.split_valid(checked, "study_id", run_time)[1],
+        "failures": quality.split_valid(checked, codes.project_key(
+            F.lit(repository_id), first_number("study_id"), "page_type"), run_time)[1],
     }
 
 
 def catalogue(
     run: dict[str, DataFrame], fetched: DataFrame, run_time: str,
-    after: dict[str, int] | None = None,
+    after: dict[str, int] | None = None, more_failures: DataFrame | None = None,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Seen project keys, and the new rows of every stored table for the kept projects.
 
     A project is kept when it qualifies. `fetched` has study_id, file_name and
-    status of the downloads; a file without one counts as unresponsive. `after`
-    has the largest stored ids (`api_run.last_ids`).
+    status of the downloads, and uri where it tells files of one name apart; of
+    several attempts the last one counts, and a file without one as
+    unresponsive. `after` has the largest stored ids (`api_run.last_ids`),
+    `more_failures` failure rows of the run beside those of records, such as
+    `unsupported` pages.
     """
     after = after or {}
     kept = run["projects"].filter("qualitative")
@@ -257,19 +266,21 @@ def catalogue(
         .withColumnRenamed("id", "version_key"), "versions")
     chosen = stored.groupBy("project_key").agg(
         F.min_by("version_key", F.struct(~F.col("is_current"), F.col("place"))).alias("version_key"))
+    named = ["study_id", "file_name", *(["uri"] if "uri" in fetched.columns else [])]
+    failures = run["failures"] if more_failures is None else run["failures"].unionByName(more_failures)
     files = (
         mine("files").join(chosen, "project_key")
-        .join(fetched.select("study_id", "file_name", "status"), ["study_id", "file_name"], "left")
+        .join(file_ops.last_states(fetched, named), named, "left")
         .withColumn("file_type", codes.row_type("file_name", F.col("file_type")))
         .withColumn("status", codes.file_status(F.coalesce("status", F.lit("")))))
     new = {
         "projects": kept, "project_versions": stored,
-        "files": number("files", files, "project_key", "file_name", "file_type"),
+        "files": number("files", files, "project_key", "file_name", "file_type", "uri"),
         "keywords": number("keywords", mine("keywords"), "project_key", "keyword"),
         "person_role": number("person_role", mine("people"), "project_key", "role", "name"),
         "licenses": number("licenses", kept.filter("license <> ''").select(
             "project_key", "license"), "project_key"),
-        "failures": number("failures", run["failures"], "reason"),
+        "failures": number("failures", failures, "project_key", "reason"),
     }
     return run["projects"].select("project_key"), {
         name: df.select(*TABLES[name].names) for name, df in new.items()}
