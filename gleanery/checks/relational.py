@@ -11,6 +11,7 @@ from gleanery.fixtures import spread, table, view, with_views
 from gleanery.functions import codes, lists, text
 from gleanery.operators import dedupe, files, people, signals, summary, versions
 from gleanery.operators.labels import add_resource_label
+from gleanery.sources import landing
 
 HIT_ORDER = ["term_ord", "start_pos", "pos"]
 FILE_ORDER = ["dataset_number", "part_no", "uri_no"]
@@ -174,7 +175,7 @@ def dictionary(spark, d) -> list[str]:
     """The longer words of the passage table, a small one: hundreds of terms that texts hit."""
     words = table(spark, d, "benchmark").select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("t"))
-    return sorted(r.t for r in words.distinct().collect())
+    return landing.bounded_terms(words, "t", most=100_000)
 
 
 _TERMS = (f"(SELECT list(t ORDER BY t) FROM (SELECT DISTINCT unnest("
@@ -204,6 +205,16 @@ def _(spark, d):
                                   "text", dictionary(spark, d))
 
 
+@query("dictionary_hits", f"""
+    SELECT doc_id, unnest(hits) AS term FROM ({_DESC})""")
+def _(spark, d):
+    """The dictionary stays a table: texts and terms meet by the rarest piece of each term."""
+    words = table(spark, d, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("t"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return signals.dictionary_hits(docs, ["doc_id"], "text", words, "t")
+
+
 @query("word_signal", r"""
     SELECT doc_id, contains(' ' || w || ' ', ' par ') AS par, contains(' ' || w || ' ', ' the ') AS the_
     FROM (SELECT doc_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}\p{Pc}]+', ' ', 'g')) AS w

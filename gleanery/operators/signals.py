@@ -9,6 +9,7 @@ from gleanery import vocab
 from gleanery.functions import workers
 from gleanery.functions.lists import clean_list
 from gleanery.functions.text import clean_text, file_extension, fold, match_form
+from gleanery.session import cut_lineage
 
 REASON_TERMS = 10
 
@@ -28,6 +29,45 @@ def term_positions(text: Column, terms: list[str], engine: str = "automaton") ->
     return F.transform(F.filter(entries, lambda e: F.contains(low, e["t"])), lambda e: e["i"])
 
 
+#: Characters of the pieces by which a dictionary table is searched.
+PIECE = 4
+
+
+def _pieces(text: Column, n: int) -> Column:
+    """All different runs of `n` characters of a text; the look-ahead lets them overlap."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+
+
+def dictionary_hits(texts: DataFrame, key: list[str], text: str, terms: DataFrame, term: str) -> DataFrame:
+    """(key, term): which terms of a table of any size each text contains, without case.
+
+    A term can only be in texts that hold all its pieces, so each is filed under
+    the one that fewest texts hold; texts meet the terms of their pieces in an
+    equi-join and are tested once. Neither table goes through the driver, and no
+    text meets a term that it shares no piece with. Terms shorter than a piece
+    are filed whole. `key` must tell texts apart; blank terms are none.
+    """
+    words = terms.select(F.col(f"`{term}`").alias("term"), F.lower(F.col(f"`{term}`")).alias("low")).filter(
+        "low <> ''").distinct().withColumn("n", F.least(F.length("low"), F.lit(PIECE)))
+    words = cut_lineage(words, "terms")
+    lengths = [r.n for r in words.select("n").distinct().collect()]  # at most PIECE numbers
+    if not lengths:
+        return texts.select(*key, F.lit("").alias("term")).limit(0)
+    low = texts.select(*key, F.lower(F.col(f"`{text}`")).alias("low")).filter("low IS NOT NULL")
+    by_length = lambda c: F.concat(*[_pieces(c, n) for n in sorted(lengths)])
+    of_term = words.select("term", "low", F.explode(F.array_distinct(F.coalesce(*[
+        F.when(F.col("n") == n, _pieces(F.col("low"), n)) for n in lengths]))).alias("piece"))
+    wanted = of_term.select("piece").distinct()
+    of_text = cut_lineage(low.select(*key, F.explode(by_length(F.col("low"))).alias("piece")).join(
+        wanted, "piece", "left_semi"), "pieces")
+    counts = cut_lineage(of_text.groupBy("piece").agg(F.count("*").alias("texts")), "counts")
+    filed = of_term.join(counts, "piece", "left").withColumn("texts", F.coalesce("texts", F.lit(0))).groupBy(
+        "term", "low").agg(F.min(F.struct("texts", "piece")).alias("rarest"))
+    filed = cut_lineage(filed.filter("rarest.texts > 0").select("term", "low", F.col("rarest.piece").alias("piece")), "filed")
+    met = of_text.join(filed.withColumnRenamed("low", "sought"), "piece").select(*key, "term", "sought")
+    return met.join(low, key).filter(F.contains("low", "sought")).select(*key, "term")
+
+
 def _names(positions: Column, terms: list[str]) -> Column:
     known = F.array(*map(F.lit, terms))
     return F.transform(positions, lambda p: F.get(known, p))

@@ -284,3 +284,24 @@ def test_sections_end_at_the_next_heading_of_their_parent(spark):
     tree = pages.parse_pages(spark.createDataFrame([(1, html)], "page_id int, html string"))
     got = {(r.label, r.value) for r in pages.nearby_sections(tree, "page_id").collect()}
     assert got == {("A", "one"), ("A", "inner deep"), ("A", "two"), ("inner", "deep"), ("B", "three"), ("C", "four")}
+
+
+def test_a_dictionary_table_finds_what_the_automaton_finds(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from gleanery.operators import signals
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdé İ") for _ in range(n))
+    texts = [(i, " ".join(word(rng.randint(1, 9)) for _ in range(rng.randint(0, 40)))) for i in range(120)]
+    texts += [(500, None), (501, ""), (502, "ABCA bca \U0001F600x")]
+    terms = sorted({word(rng.randint(1, 7)).strip() for _ in range(300)} | {"", "bca \U0001F600", "x", "not there at all"})
+    docs = spark.createDataFrame(texts, "id int, text string").repartition(5)
+    table = spark.createDataFrame([(t,) for t in [*terms, "x"]], "t string")
+    got = sorted((r.id, r.term) for r in signals.dictionary_hits(docs, ["id"], "text", table, "t").collect())
+    low = {r.id: r.low for r in docs.select("id", F.lower("text").alias("low")).collect()}
+    folded = {r.t: r.low for r in table.select("t", F.lower("t").alias("low")).collect()}
+    assert got == sorted((i, t) for i, text in low.items() for t in terms if t and text is not None and folded[t] in text)
+    assert signals.dictionary_hits(docs, ["id"], "text", table.limit(0), "t").collect() == []
