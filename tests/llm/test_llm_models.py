@@ -170,3 +170,62 @@ def test_the_field_sees_the_documents_behind_a_long_one(monkeypatch):
     texts, marks = [t for _, t in rows], [toxic.get(i, 0) for i, _ in rows]
     toxicity.fit([" ".join(f"long{i}" for i in range(6000))] + texts, [0] + marks)
     assert seen[0][0] > 20 and seen[0][1] <= 5000
+
+
+def brute(rows, k=10, step=100):
+    """Every query's nearest, among vectors of its length."""
+    out = []
+    for q, v in rows:
+        if q % step == 0:
+            near = sorted((float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), i)
+                          for i, w in rows if i != q and len(w) == len(v))
+            out += [(q, rank, i) for rank, (_, i) in enumerate(near[:k], 1)]
+    return sorted(out)
+
+
+def test_vectors_of_several_lengths_do_not_hide_one_another(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERY_ROWS", 2)  # the queries of a list come in several blocks
+    rng = np.random.default_rng(8)
+    rows = [(i, np.float32(rng.normal(size=4 if i % 3 else 6)).tolist()) for i in range(300)] + [(1000, [1.0, 2.0])]
+    got = ann.search(vectors(spark, rows).repartition(4), lambda i: i % 10 == 0, k=10)
+    # 300 vectors are three lists, nearly all of which are read
+    want = brute(rows, step=10)
+    found = sorted((r.query_id, r["rank"], r.vec_id) for r in got.collect())
+    assert {q for q, _, _ in found} == {q for q, _, _ in want}
+    assert len(set(found) & set(want)) >= 0.9 * len(want)
+
+
+def test_the_beam_widens_to_the_ratio():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(600, 24))
+    index = ann.Index(ann.CentroidGraph(centres, 24), ann.Settings(beam=16, prune=1.3))
+    index.primary = np.full(600, 50)
+    points = rng.normal(size=(20, 24))
+    gaps = ann.distances(points, centres)
+    read = index.lists_for(points, 10)
+    wanted = [set(np.flatnonzero(gap <= 1.3 * gap.min()).tolist()) for gap in gaps]
+    assert max(map(len, wanted)) > 100  # far more than the beam begins with
+    assert sum(len(w & set(x)) for w, x in zip(wanted, read)) >= 0.95 * sum(map(len, wanted))
+
+
+def test_a_sampled_id_gives_one_text_within_the_bound(spark, monkeypatch):
+    rows, labels = toxic_corpus()
+    seen, real = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda texts, marks: seen.append((texts, marks)) or real(texts, marks))
+    copies = [rows[1]] * 400 + [(rows[1][0], rows[1][1] + " and more of it")] * 5
+    long = [(rows[2][0], "very long " * 50_000), (rows[3][0], None)]
+    docs = spark.createDataFrame(rows[:2] + copies + long + rows[4:], "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(toxicity, "MOST_CHARS", 60_000)
+    toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    texts, marks = seen[0]
+    assert sum(map(len, texts)) <= 60_000 and len(texts) == len(marks) > 50
+    assert texts.count(rows[1][1]) <= 1 and not any("and more of it" in t for t in texts)
+    monkeypatch.setattr(toxicity, "MOST_CHARS", 10 ** 9)
+    toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(seen[1][0]) == len({i for i, _ in labels if not toxic_held(i)})
+
+
+def toxic_held(key):
+    import zlib
+
+    return zlib.crc32(str(key).encode()) % 5 == 0

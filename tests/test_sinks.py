@@ -47,3 +47,30 @@ def test_dictionary_and_responses(spark, tmp_path):
     assert landing.read_responses(spark, str(tmp_path / "r.json")).first().term == "t"
 
 
+
+
+def test_one_file_for_each_record(spark, tmp_path):
+    rows = [(f"s{i}", json.dumps({"i": i})) for i in range(40)]
+    rows += [("same", '{"v":1}'), ("same", '{"v":2}'), ("twice", '{"v":"ü"}'), ("twice", '{"v":"ü"}'), (None, "{}"), ("x", None)]
+    df = spark.createDataFrame(rows, "file_stem string, document string").repartition(5)
+    (tmp_path / "out").mkdir()
+    written = sinks.write_record_files(df, str(tmp_path / "out"))
+    files = {p.name: p.read_text() for p in (tmp_path / "out").iterdir()}
+    assert len(files) == 43 and files["s7.json"] == '{"i": 7}' and files["twice.json"] == '{"v":"ü"}'
+    assert sorted(v for k, v in files.items() if k.startswith("same-")) == ['{"v":1}', '{"v":2}']
+    assert {pathlib.Path(r.path).name for r in written.collect()} == set(files)
+    # once more: the same files
+    sinks.write_record_files(df, f"file://{tmp_path}/out")
+    assert {p.name: p.read_text() for p in (tmp_path / "out").iterdir()} == files
+
+
+def test_a_task_that_fails_publishes_nothing(spark, tmp_path):
+    (tmp_path / "out").mkdir()
+    bad = spark.range(50).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("file_stem"), F.when(
+        F.col("id") < 49, F.lit("{}")).otherwise(F.raise_error(F.lit("lost")).cast("string")).alias("document"))
+    try:
+        sinks.write_record_files(bad, str(tmp_path / "out"))
+        raise AssertionError("should fail")
+    except Exception as error:
+        assert "lost" in str(error)
+    assert not [p for p in (tmp_path / "out").glob("*.json")]
