@@ -10,12 +10,14 @@ few lists give each query a bound, the distance of its k-th nearest there; the
 others only answer with what is within it.
 
 The index is bounded: at most MOST_LISTS centroids. Posting lists are data of
-any size; a long one is cut into shards that its queries visit one by one.
+any size; a long one is cut into shards, and the queries of a list that many read
+into blocks: a task meets one shard with one block.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,8 +32,9 @@ LIST_ROWS = 128
 MOST_LISTS = 4096
 #: The bound of the sample that the index is fitted on.
 SAMPLE_ROWS = 32_768
-#: Rows in a shard of a posting list, about.
+#: Rows in a shard of a posting list, and queries in a block that meets it, about.
 SHARD_ROWS = 256
+QUERY_ROWS = 4096
 
 
 @dataclass
@@ -158,17 +161,20 @@ class Index:
 
     def lists_for(self, points: np.ndarray, k: int) -> list[list[int]]:
         """The lists that a query reads; at least as many as hold k vectors besides it."""
-        ids, gaps = self.graph.search(points, self.settings.beam)
-        out = []
-        for row, gap in zip(ids, gaps):
-            there = row >= 0
-            keep = there & (gap <= self.settings.prune * gap[0])
-            held = np.cumsum(np.where(there, self.primary[row], 0))
-            keep |= there & (np.concatenate([[0], held[:-1]]) < k + 1)
-            if held[-1] < k + 1:
-                out.append(list(range(len(self.primary))))
-            else:
-                out.append(row[keep].tolist())
+        out: list[list[int]] = [[] for _ in range(len(points))]
+        beam, rows = self.settings.beam, np.arange(len(points))
+        while len(rows):
+            ids, gaps = self.graph.search(points[rows], beam)
+            # the beam widens until the farthest centroid found is beyond the ratio
+            far = np.where(ids >= 0, gaps, -np.inf).max(axis=1)
+            wider = (far <= self.settings.prune * gaps[:, 0]) & (beam < len(self.primary))
+            for at, row, gap in zip(rows[~wider].tolist(), ids[~wider], gaps[~wider]):
+                there = row >= 0
+                keep = there & (gap <= self.settings.prune * gap[0])
+                held = np.cumsum(np.where(there, self.primary[row], 0))
+                keep |= there & (np.concatenate([[0], held[:-1]]) < k + 1)
+                out[at] = list(range(len(self.primary))) if held[-1] < k + 1 else row[keep].tolist()
+            rows, beam = rows[wider], 2 * beam
         return out
 
 
@@ -190,24 +196,31 @@ def search(vectors: DataFrame, is_query, k: int = 10, key: str = "vec_id",
 
     Queries are the rows where `is_query(vec_id)` holds, candidates all rows of
     another id. Rows without an id, null and zero vectors, and vectors with null
-    or non-finite components take no part, nor do vectors of another length than
-    the shortest usable one. Rows that repeat an id count once, with the nearer
-    vector. Equal distances are in order of vec_id. With k candidates or fewer a
-    query gets them all; without usable rows there is no result.
+    or non-finite components take no part. Vectors of several lengths are several
+    searches, as there is no distance between them. Rows that repeat an id count
+    once in a search, with the nearer vector. Equal distances are in order of
+    vec_id. With k candidates or fewer a query gets them all; without usable
+    rows there is no result.
     """
-    spark, set_ = vectors.sparkSession, settings or Settings()
-    all_rows = usable(vectors, key, vector)
-    facts = all_rows.agg(F.count("*").alias("n"), F.min(F.size("vec")).alias("dim")).first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if not facts.n:
-        return spark.createDataFrame([], result)
-    all_rows = all_rows.filter(F.size("vec") == facts.dim)
+    rows = usable(vectors, key, vector)
+    lengths = sorted((r.dim, r.n) for r in rows.groupBy(F.size("vec").alias("dim")).agg(
+        F.count("*").alias("n")).collect())
+    found = [_search(rows.filter(F.size("vec") == dim), n, is_query, k, settings or Settings())
+             for dim, n in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(all_rows: DataFrame, n: int, is_query, k: int, set_: Settings) -> DataFrame:
+    """`search` among `n` vectors of one length."""
+    spark = all_rows.sparkSession
     # a bounded sample in the order of a hash, the same at every run
-    share = int(min(1.0, 1.2 * SAMPLE_ROWS / facts.n) * (1 << 30))
+    share = int(min(1.0, 1.2 * SAMPLE_ROWS / n) * (1 << 30))
     sample = (all_rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) <= share)
               .limit(SAMPLE_ROWS).toPandas())
     sample = sample.sort_values("vec_id", kind="stable")
-    lists = min(MOST_LISTS // 2, -(-facts.n // LIST_ROWS))
+    lists = min(MOST_LISTS // 2, -(-n // LIST_ROWS))
     index = Index(CentroidGraph(balanced_centroids(stack(sample["vec"]), lists), set_.degree), set_)
     known = spark.sparkContext.broadcast(index)
 
@@ -264,8 +277,14 @@ def search(vectors: DataFrame, is_query, k: int = 10, key: str = "vec_id",
                  .filter(some(F.col("place")))
                  .select("query_id", "asked", "bound", F.col("r.list").cast("long").alias("list"),
                          F.explode(F.sequence(F.lit(0), F.col("r.shards") - 1)).alias("shard")))
-        return asked.groupBy("list", "shard").cogroup(postings.groupBy("list", "shard")
-                                                      ).applyInPandas(
+        # the queries of a list come in blocks, each of which meets the list's shards; one row a list
+        many = F.broadcast(asked.filter("shard = 0").groupBy("list").agg(
+            F.ceil(F.count("*") / F.lit(QUERY_ROWS)).cast("int").alias("blocks")))
+        asked = asked.join(many, "list").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
+        held = postings.join(many, "list").withColumn("block", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+        place = ["list", "shard", "block"]
+        return asked.drop("blocks").groupBy(*place).cogroup(held.drop("blocks").groupBy(*place)).applyInPandas(
             nearest, "query_id long, vec_id long, score double")
 
     def best(found: DataFrame) -> DataFrame:

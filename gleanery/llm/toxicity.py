@@ -33,6 +33,8 @@ HEADS, TAILS = (3, 4, 5, 6), (4,)
 PER_WORD = 1 + len(HEADS) + len(TAILS)
 #: Bounds of the training sample: labelled documents of each class, words that the field sees.
 MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 1500, 6000, 400_000
+#: The bound of the sample's texts together, in characters.
+MOST_CHARS = 40_000_000
 #: A feature tells toxic words from others by at least this odds ratio and G statistic.
 ODDS, EVIDENCE = 20.0, 24.0
 EDGE = ".,;:!?\"'()[]{}<>*_-|/\\"
@@ -247,10 +249,10 @@ def telling(df_toxic: np.ndarray, df_clean: np.ndarray, n_toxic: int, n_clean: i
 
 
 def within(sizes: np.ndarray, labels: np.ndarray, most: int) -> np.ndarray:
-    """Which documents the field sees: in order, each that fits in what is left of `most` words.
+    """Which documents are taken: in order, each that fits in what is left of `most`.
 
     One that does not fit is passed over. A class of which none fits is there
-    with its shortest document, the only case in which there are more words.
+    with its shortest document, the only case in which there is more.
     """
     chosen, left = np.zeros(len(sizes), dtype=bool), most
     for i, n in enumerate(sizes.tolist()):
@@ -312,9 +314,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
           label: str = "toxic") -> Model | None:
     """Fits the model on at most MOST_TOXIC and MOST_CLEAN labelled documents.
 
-    The sample is in the order of a hash of the id, the same at every run. Held
-    out documents, null ids and null labels are left out; a document labelled
-    more than once is toxic if any label says so.
+    The sample is in the order of a hash of the id, the same at every run; it has
+    one text for each id (the shortest, where rows repeat an id), and texts of
+    at most MOST_CHARS characters in all: one that does not fit in what is left
+    is passed over. Held out documents, null ids and null labels are left out; a
+    document labelled more than once is toxic if any label says so.
     """
     known = (labels.select(F.col(f"`{key}`").cast("long").alias("doc_id"),
                            F.col(f"`{label}`").cast("int").alias("toxic"))
@@ -328,8 +332,17 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         some = hashed.filter(condition).orderBy("turn", "doc_id").limit(most)
         sample = some if sample is None else sample.unionByName(some)
     # at most MOST_TOXIC + MOST_CLEAN ids
-    rows = texts.join(F.broadcast(sample), "doc_id").orderBy("turn", "doc_id", "text").collect()
-    return fit([r.text or "" for r in rows], [int(r.toxic > 0) for r in rows])
+    told = texts.join(F.broadcast(sample), "doc_id").withColumn("text", F.coalesce("text", F.lit(""))).withColumn(
+        "form", F.struct(F.length("text").alias("n"), F.xxhash64("text").alias("h")))
+    sizes = told.groupBy("turn", "doc_id", "toxic").agg(F.min("form").alias("form")).orderBy("turn", "doc_id").collect()
+    fits = within(np.array([r.form.n for r in sizes], dtype=np.int64),
+                  np.array([int(r.toxic > 0) for r in sizes], dtype=np.int64), MOST_CHARS)
+    picked = docs.sparkSession.createDataFrame(
+        [(sizes[i].doc_id, sizes[i].form.n, sizes[i].form.h) for i in fits.tolist()], "doc_id long, n int, h long")
+    # at most MOST_CHARS characters
+    rows = (told.join(F.broadcast(picked.select("doc_id", F.struct("n", "h").alias("form"))), ["doc_id", "form"])
+            .dropDuplicates(["doc_id"]).orderBy("turn", "doc_id").collect())
+    return fit([r.text for r in rows], [int(r.toxic > 0) for r in rows])
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
