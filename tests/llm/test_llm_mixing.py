@@ -153,3 +153,27 @@ def test_branches_of_odd_turns(spark):
     assert [t.text for t in got[1].rejected] == ["", "a"] and len(got[1].chosen) == 3
     assert [t.text for t in got[7].chosen] == ["only"] and got[7].rejected == []
     assert preference.branch_pairs(turns.limit(0)).collect() == []
+
+
+def test_the_table_equals_a_plain_fill_and_slots_follow_the_hash(spark):
+    """The preference orders written out whole, shards taking turns; a key's slot is its hash."""
+    import xxhash
+
+    names, size = ["c", "a", "e", "b", "d"], 101
+    orders = {n: [(xxhash.xxh64_intdigest(n, 1) + j * (xxhash.xxh64_intdigest(n, 2) % (size - 1) + 1)) % size
+                  for j in range(size)] for n in names}
+    assert all(sorted(o) == list(range(size)) for o in orders.values())
+    owner = {}
+    while len(owner) < size:
+        for n in sorted(names):
+            free = [slot for slot in orders[n] if slot not in owner]
+            if free:
+                owner[free[0]] = n
+    keys = ["7", "", "é" * 3, "long " * 9000, None, *map(str, range(300)), "7"]
+    docs = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "doc_id string, slot int")
+    got = sharding.place(docs.repartition(4), "doc_id", names, size).collect()
+    assert len(got) == len(keys)
+    for r in got:
+        raw = xxhash.xxh64_intdigest((r.row.doc_id or "").encode(), 42) if r.row.doc_id is not None else 42
+        signed = raw - (1 << 64) if raw >> 63 else raw
+        assert r.slot == signed % size and r.shard == owner[r.slot]

@@ -60,3 +60,31 @@ def test_stages_filter_and_pack(spark):
     full = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("m"))
     assert full.filter("n <> m or n > 1024").count() == 0
     assert corpus_pipeline.run(spark, FOLDER).count() == packed.count()
+
+
+def test_stages_on_odd_rows(spark):
+    long = " ".join(f"word{i % 900}" for i in range(30_000))
+    rows = [(900_000, None, "xx", None, None), (900_001, "", None, "s", 0), (900_002, " \t\n", "xx", "s", 3),
+            (900_003, long, "xx", "s", None), (900_004, long, "xx", "t", 1), (900_005, "a b", "xx", "t", 1),
+            (900_005, "a b", "xx", "t", 1), (None, "no key", "xx", "s", 1), (900_006, "é 東京 \U0001F600", "xx", "s", 2)]
+    source = queries.table(spark, FOLDER, "documents")
+    odd = spark.createDataFrame(rows, source.schema)
+    clash = {"node": "own", "row": "own", "shingle": "own", "k": "own", "length": "own", "n": "own"}
+    docs = source.limit(30).unionByName(odd).withColumns({c: F.lit(v) for c, v in clash.items()})
+    told = {r.doc_id for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        out = cut_lineage(stage(spark, docs, FOLDER), name)
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
+            kept = [r.doc_id for r in out.collect()]
+            assert set(kept) <= told
+            if name == "exact_dedup":
+                assert kept.count(900_005) == 1 and 900_003 not in kept and 900_004 in kept
+        else:
+            assert {r.doc_id for r in out.collect()} <= told and out.count() >= 30
+        docs = out
+    empty = docs_of_nothing = source.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs_of_nothing = stage(spark, docs_of_nothing, FOLDER)
+        assert docs_of_nothing.count() == 0
+        docs_of_nothing = empty
