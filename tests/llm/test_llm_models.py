@@ -229,3 +229,22 @@ def toxic_held(key):
     import zlib
 
     return zlib.crc32(str(key).encode()) % 5 == 0
+
+
+def test_recall_where_neighbours_lie_beyond_the_ratio(spark):
+    rng = np.random.default_rng(5)
+    groups = np.repeat(rng.normal(size=(700, 16)), 6, axis=0)  # the nearest five close, the others far
+    tight = groups + rng.normal(size=groups.shape) * 0.01
+    shifted = 1e6 + rng.normal(size=(4000, 16))
+    for data in (tight, shifted):
+        rows = [(i, v.tolist()) for i, v in enumerate(data)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+        found = {}
+        for r in ann.search(df, lambda i: i % 100 == 0, k=10).collect():
+            found.setdefault(r.query_id, set()).add(r.vec_id)
+        hits = 0
+        for query in range(0, len(data), 100):
+            gap = np.sqrt(((data - data[query]) ** 2).sum(1))
+            gap[query] = np.inf
+            hits += len(found[query] & set(np.argsort(gap, kind="stable")[:10].tolist()))
+        assert hits / (10 * len(range(0, len(data), 100))) >= 0.94
