@@ -399,8 +399,11 @@ def header_values(tree: DataFrame, key: str) -> DataFrame:
         F.coalesce(pick("version"), F.lit("")).alias("version"))
 
 
-def panels(tree: DataFrame, key: str) -> DataFrame:
-    """Panel entries: rows section, label, value, place; help links are no part of a value."""
+def panels(tree: DataFrame, key: str, *flags: str) -> DataFrame:
+    """Panel entries: rows section, label, value, place; help links are no part of a value.
+
+    `flags` are boolean columns of the page that its entries carry along.
+    """
     titles = F.filter("elems", lambda e: (e["tag"] == "div") & has_class(e, "panel-title")
                       & (inner_text(e) != ""))
     step = tree.withColumn("_titles", titles)
@@ -422,10 +425,11 @@ def panels(tree: DataFrame, key: str) -> DataFrame:
 
     heads = F.filter("elems", lambda e: (e["tag"] == "div") & has_class(e, "panel-heading")
                      & ~has_class(e, "panel-title"))
-    rows = step.select(key, F.explode(F.transform(heads, entry)).alias("p")).select(key, "p.*")
+    rows = step.select(key, *flags, F.explode(F.transform(heads, entry)).alias("p")).select(key, *flags, "p.*")
     return (
         rows.filter("section IS NOT NULL AND label <> '' AND value <> ''")
-        .groupBy(key, "section", "label", "value").agg(F.min("ord").cast("bigint").alias("place"))
+        .groupBy(key, "section", "label", "value").agg(
+            F.min("ord").cast("bigint").alias("place"), *[F.bool_or(c).alias(c) for c in flags])
     )
 
 
@@ -472,13 +476,13 @@ def published_versions(tree: DataFrame, key: str, url: str = "url") -> DataFrame
 def related_publications(tree: DataFrame, key: str) -> DataFrame:
     """Publication lines of the panels; pages that say there are none have no rows.
 
-    What a page says is read with its panels, so a page is parsed once.
+    What a page says travels with its panels: a filter on the tree would be a second parse.
     """
     none = F.array_join("texts", " ").contains("No related publications for this project")
     denied = F.bool_or(F.lower("value").contains("no related publications")).over(Window.partitionBy(key))
     return (
-        panels(tree.filter(~none), key)
-        .filter((F.col("section") == "Methodology") & F.lower("label").contains("related publication"))
+        panels(tree.withColumn("_none", none), key, "_none")
+        .filter(~F.col("_none") & (F.col("section") == "Methodology") & F.lower("label").contains("related publication"))
         .withColumn("_d", denied).filter("NOT _d")
         .withColumn("p", codes.publication_parts("value"))
         .select(key, "place", "p.title", "p.year", "p.doi")
