@@ -37,3 +37,38 @@ def test_related_publications_parse_a_page_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("page_tree(") == 1
     assert found.filter(F.col("title").isNull()).count() == 0
+
+
+def trees(pages, reader):
+    found = workers._Trees(reader)
+    for page in pages:
+        found.add(page)
+    return found.columns().to_pylist()
+
+
+class NoReader:
+    def read(self, page):
+        raise AssertionError(f"not read as plain: {page}")
+
+
+class OnlyReader(workers._Trees):
+    def read(self, *_):
+        return False
+
+
+def test_plain_pages_are_read_as_the_library_reads_them():
+    plain = ["", "text", "<p a='&amp;x' b=\"c>d\" e=f q>t &lt; u</p>", "<A HREF='x' href='y'>z<br/><hr></a>x&amp",
+             "<!DOCTYPE html><!-- c --><ul><li>1<li>2</ul></z>t", "<script>a<b;</script><STYLE>q</StYle>v", "\xa0<p>&nbsp;"]
+    odd = ["<", "<a b = 1>x", "</a b>", "<script>a", "<script>x</ script>y", "<!-- a -- b -->c", "<?p>x", "a < b<p>c",
+           "<a\x0bb>x", "<a x=\"1\"y='2'>q", "<![CDATA[x]]>y", "<p>a<b", None]
+    only = OnlyReader(workers._reader())
+    for page in plain + odd:
+        only.add(page)
+    assert trees(plain + odd, workers._reader()) == only.columns().to_pylist()
+    assert len(trees(plain, NoReader())) == len(plain)
+
+
+def test_pages_of_few_bytes_are_dealt_to_several_tasks(spark):
+    from gleanery.checks.pages import study
+
+    assert study(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 16
