@@ -72,3 +72,25 @@ def test_pages_of_few_bytes_are_dealt_to_several_tasks(spark):
     from gleanery.checks.pages import study
 
     assert study(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 16
+
+
+def test_variable_count_parses_a_page_once_and_moves_nothing(spark):
+    html = ["<script>var b = {\"response\":{\"numFound\":4}}; var a = {\"response\":{\"numFound\":7}};</script>",
+            "<p>1 to 20 of 350</p>", "<p>No search results found</p>", "<script>var b = 3;</script>x", None]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
+    found = P.parse_pages(df).select("page_id", P.variable_count().alias("n"))
+    assert dict(found.collect()) == {0: 7, 1: 350, 2: 0, 3: None, 4: None}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("page_tree(") == 1 and "Join" not in plan
+
+
+def test_facts_of_pages_come_from_the_written_tree(spark):
+    from gleanery.plans import page_run
+
+    page = "<title>T</title><meta name=a content=b><script>var title = 'x';</script>"
+    routed = spark.createDataFrame([("1", 0, "icpsr", "https://h/1", page)],
+                                   "study_id string, page_ord int, page_type string, url string, html string")
+    tree = page_run.page_trees(routed, "icpsr")
+    facts = page_run.page_facts(routed.filter("false"), "icpsr", tree)  # the pages are not read again
+    assert {(r.source, r.name, r.value) for r in facts.collect()} >= {
+        ("page", "title", "T"), ("meta", "a", "b"), ("variable", "title", "'x'")}
