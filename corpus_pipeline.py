@@ -29,8 +29,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each component of near copies: texts whose
-    sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
+    """One document, the one of the smallest id, of each component of near copies: texts that
+    SimHash links and whose sets of five-word shingles have a Jaccard similarity of 0.8 or more,
+    completed by those of such similarity that SimHash leaves apart."""
     return near_dedup.drop_near_duplicates(docs, shingle=5, similarity=0.8)
 
 

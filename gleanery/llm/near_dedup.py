@@ -1,4 +1,10 @@
-"""Near-dedup by the Jaccard similarity of word shingles, without misses.
+"""Near-dedup by SimHash links, checked and completed by the Jaccard similarity of word shingles.
+
+Each text has the SimHash of its set of shingles, and the operator `simhash` links
+fingerprints of few differing bits into components. Every text of a component is
+checked against its first one on the whole sets of shingles; links that pass stand.
+The exact step below then compares only texts that these links leave apart: two texts
+that are alike may differ in more bits, and none of them is missed.
 
 Texts are alike when their sets of `shingle`-word shingles have a similarity of
 at least `similarity`. All sets are sorted in one common order; two sets that
@@ -16,7 +22,7 @@ pairs are formed, never which are found. A text with many shingles of its own
 has these first, so that the shingles it shares with a large group come too late
 for a pair.
 
-Pairs inside a large group are not all formed. Each text is first linked with
+Pairs inside a large group are not all formed. What SimHash has not linked yet is linked with
 the text of each of its cells that has the fewest shingles before the cell's
 (the one with the fewest of its own), then again with the best such text of
 another component; both rounds are linear in the cells. Only pairs of different
@@ -37,6 +43,7 @@ from pyspark.sql import functions as F
 
 from gleanery.session import cut_lineage, drop_work
 
+from . import simhash
 from .common import WORD_RE, components, ragged, runs_of
 
 SHINGLE = 5
@@ -118,8 +125,8 @@ def parities(held: np.ndarray) -> np.ndarray:
 
 
 def cells(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(shingle, node, n, pos, bits): the first shingles of each text with their places in the
-    common order, the size of the text's whole set, and with the first of them its bitmap."""
+    """(shingle, node, n, pos, bits, fp): the first shingles of each text with their places in the
+    common order, the size of the text's whole set, and with the first of them its bitmap and SimHash."""
     often = frequent(texts, shingle)
     order = np.argsort(often, kind="stable")
     known = texts.sparkSession.sparkContext.broadcast((often[order], order))
@@ -128,7 +135,7 @@ def cells(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
         names, ranks = known.value
         for batch in batches:
             for some in (batch.slice(a, 200) for a in range(0, batch.num_rows, 200)):
-                parts, sizes, bits = [], [], []
+                parts, sizes, bits, prints = [], [], [], []
                 for text in some.column("text"):
                     held = shingles(text.as_py(), shingle)
                     rank = np.full(len(held), -1)
@@ -139,6 +146,7 @@ def cells(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
                     parts.append(held[np.lexsort((held, rank))[:first]])
                     sizes.append(len(held))
                     bits.append(parities(held))
+                    prints.append(simhash.of_hashes(held))
                 counts = [len(p) for p in parts]
                 pos = ragged(np.zeros(len(counts), dtype=np.int64), np.array(counts))
                 ends = np.cumsum(np.where(pos == 0, BITS // 64, 0))
@@ -147,10 +155,11 @@ def cells(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
                     pa.array(np.concatenate(parts)),
                     pa.array(np.repeat(some.column("node").to_numpy(), counts)),
                     pa.array(np.repeat(np.array(sizes, dtype=np.int32), counts)),
-                    pa.array(pos.astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(bits)))],
-                    names=["shingle", "node", "n", "pos", "bits"])
+                    pa.array(pos.astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(bits))),
+                    pa.array(np.repeat(np.array(prints, dtype=np.int64), counts), mask=pos != 0)],
+                    names=["shingle", "node", "n", "pos", "bits", "fp"])
 
-    return texts.mapInArrow(code, "shingle long, node long, n int, pos int, bits array<long>")
+    return texts.mapInArrow(code, "shingle long, node long, n int, pos int, bits array<long>, fp long")
 
 
 def links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -162,13 +171,18 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
     shared = (found.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last"))
               .filter("first <> last").select("shingle"))
     # copies of a text are one member
-    members = cut_lineage(found.drop("bits").join(cut_lineage(shared, "shared"), "shingle").distinct(), "cells")
-    marks = cut_lineage(found.filter("pos = 0").dropDuplicates(["node"]).select("node", "n", "bits"), "marks")
+    members = cut_lineage(found.drop("bits", "fp").join(cut_lineage(shared, "shared"), "shingle").distinct(), "cells")
+    marks = cut_lineage(found.filter("pos = 0").dropDuplicates(["node"]).select("node", "n", "bits", "fp"), "marks")
     drop_work(found)
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b) that are alike, of rows with both members' n and pos."""
+    def alike(pairs: DataFrame, star: DataFrame | None = None) -> DataFrame:
+        """The distinct pairs (a, b) that are alike, of rows with both members' n and pos; pairs
+        that the components `star` hold together are left out."""
         pairs = pairs.filter(_enough("n", "pos", "n2", "pos2", similarity)).select("a", "b").distinct()
+        if star is not None:
+            root = lambda c: star.select(F.col("node").alias(c), F.col("root").alias(f"r_{c}"))
+            pairs = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").filter(
+                F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b")
         of = lambda c: marks.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"),
                                     F.col("bits").alias(f"bits_{c}"))
         differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
@@ -187,12 +201,22 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
         drop_work(pairs, wanted, held)
         return found
 
+    # texts that SimHash links, each with the first of its component
+    roots = simhash.links(marks.select("fp").distinct()).withColumnRenamed("node", "fp")
+    placed = cut_lineage(marks.join(roots, "fp", "left").select(
+        "node", "n", F.coalesce("root", "fp").alias("root")), "nodes")
+    firsts = placed.groupBy("root").agg(F.min(F.struct("node", "n")).alias("first"))
+    near = placed.join(firsts, "root").filter("node <> first.node").select(
+        F.col("node").alias("a"), F.col("first.node").alias("b"), "n", F.lit(0).alias("pos"),
+        F.col("first.n").alias("n2"), F.lit(0).alias("pos2"))
+    star = components(alike(near))
+
     head = lambda c: F.min(F.struct("pos", "node", "n")).alias(c)
     heads = cut_lineage(members.groupBy("shingle").agg(head("head")), "heads")
     to_head = members.join(heads, "shingle").filter("node <> head.node").select(
         F.col("node").alias("a"), F.col("head.node").alias("b"), "n", "pos",
         F.col("head.n").alias("n2"), F.col("head.pos").alias("pos2"))
-    star = components(alike(to_head))
+    star = cut_lineage(_contracted(star, alike(to_head, star)), "links")
 
     def mixed_cells() -> tuple[DataFrame, DataFrame]:
         """The members of cells of several components, with their root and the cell's usual one,

@@ -64,6 +64,15 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * set_bits > n).tobytes(), "big")
 
 
+def of_hashes(hashes: np.ndarray) -> int:
+    """The SimHash of a set of 64-bit hashes, signed: a bit is set if it is in over half of them."""
+    set_bits = np.zeros(64, dtype=np.int64)
+    for a in range(0, len(hashes), 50_000):
+        block = hashes[a:a + 50_000].astype(">i8")
+        set_bits += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * set_bits > len(hashes)).tobytes(), "big", signed=True)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text",
                  key: str = "doc_id") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed 64-bit number. No shuffle."""

@@ -94,3 +94,22 @@ def test_rows_without_a_key_and_copies(spark):
     assert sorted(i for i in ids if i is not None) == [1, 4] and ids.count(None) == 2
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.drop_near_duplicates(empty).collect() == []
+
+
+def test_the_stage_links_by_simhash(spark, monkeypatch):
+    """Near copies come through SimHash, checked on their sets; the exact step only completes them."""
+    words = [f"w{i}" for i in range(400)]
+    near, far = " ".join(words + ["end"]), " ".join(words[:360] + ["x"] * 5)
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, near), (3, far), (4, "other words here")],
+                                 "doc_id long, text string")
+    prints = {k: near_dedup.simhash.of_hashes(near_dedup.shingles(t)) for k, t in docs.collect()}
+    assert bin((prints[1] ^ prints[2]) & (1 << 64) - 1).count("1") <= 4
+    assert near_dedup.simhash.of_hashes(near_dedup.shingles("a b", 4)) & (1 << 64) - 1 == \
+        near_dedup.simhash.fingerprint("a b", 4)
+    asked, checked, links = [], [], near_dedup.simhash.links
+    monkeypatch.setattr(near_dedup.simhash, "links", lambda p, *a: asked.append(p.count()) or links(p, *a))
+    of_links = near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda p: checked.append(p.count()) or of_links(p))
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert asked == [4] and checked[0] >= 1
+    assert {r.doc_id for r in kept} == {1, 4}
