@@ -111,5 +111,5 @@ def test_the_stage_links_by_simhash(spark, monkeypatch):
     of_links = near_dedup.components
     monkeypatch.setattr(near_dedup, "components", lambda p: checked.append(p.count()) or of_links(p))
     kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
-    assert asked == [4] and checked[0] >= 1
+    assert asked == [len(set(prints.values()))] and checked[0] >= 1
     assert {r.doc_id for r in kept} == {1, 4}
