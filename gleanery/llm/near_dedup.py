@@ -1,7 +1,8 @@
 """Near-dedup by SimHash links, checked and completed by the Jaccard similarity of word shingles.
 
-Each text has the SimHash of its set of shingles, and the operator `simhash` links
-fingerprints of few differing bits into components. Every text of a component is
+Each text has the fingerprint that the operator `simhash` gives its shingles (repeats
+count, no words give zero), and that operator links fingerprints of few differing bits
+into components. Every text of a component is
 checked against its first one on the whole sets of shingles; links that pass stand.
 The exact step below then compares only texts that these links leave apart: two texts
 that are alike may differ in more bits, and none of them is missed.
@@ -60,16 +61,18 @@ MOST_SENT = 250_000
 BITS = 1024
 #: Rounding may only let more pairs meet.
 SLACK = 1e-6
+_NO_WORDS = np.array([xxhash.xxh64_intdigest(b"", SEED)], dtype=np.uint64).view(np.int64)
 _UPPER = bytes(range(256)).translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
 
 
-def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct hashes of a text's shingles.
+def all_shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included.
 
-    Only A-Z are lower-cased. Fewer words than a shingle has are one shingle,
-    and so are no words (or null).
+    Only A-Z are lower-cased. Fewer words than a shingle has are one shingle.
     """
     raw = [w.encode("utf-8", "surrogatepass") for w in WORD_RE.findall(text or "")]
+    if not raw:
+        return np.empty(0, dtype=np.int64)
     line = b" ".join(raw).translate(_UPPER)
     ends = np.cumsum([len(w) + 1 for w in raw], dtype=np.int64) - 1
     starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
@@ -77,7 +80,17 @@ def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(line[i:j], SEED) for i, j in zip(starts.tolist(), last.tolist())),
                          dtype=np.uint64)
-    return np.unique(hashes.view(np.int64))
+    return hashes.view(np.int64)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """The set of a text's shingles, sorted; that of a text without words is one shingle."""
+    return np.unique(hashes) if len(hashes) else _NO_WORDS
+
+
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles; no words (or null) are one shingle."""
+    return distinct(all_shingles(text, shingle))
 
 
 def _texts(docs: DataFrame, text: str, *others: Column) -> DataFrame:
@@ -137,7 +150,8 @@ def cells(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
             for some in (batch.slice(a, 200) for a in range(0, batch.num_rows, 200)):
                 parts, sizes, bits, prints = [], [], [], []
                 for text in some.column("text"):
-                    held = shingles(text.as_py(), shingle)
+                    hashes = all_shingles(text.as_py(), shingle)
+                    held = distinct(hashes)
                     rank = np.full(len(held), -1)
                     if len(names):
                         at = np.minimum(np.searchsorted(names, held), len(names) - 1)
@@ -146,7 +160,7 @@ def cells(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
                     parts.append(held[np.lexsort((held, rank))[:first]])
                     sizes.append(len(held))
                     bits.append(parities(held))
-                    prints.append(simhash.of_hashes(held))
+                    prints.append(simhash.of_hashes(hashes))
                 counts = [len(p) for p in parts]
                 pos = ragged(np.zeros(len(counts), dtype=np.int64), np.array(counts))
                 ends = np.cumsum(np.where(pos == 0, BITS // 64, 0))

@@ -113,3 +113,12 @@ def test_the_stage_links_by_simhash(spark, monkeypatch):
     kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
     assert asked == [len(set(prints.values()))] and checked[0] >= 1
     assert {r.doc_id for r in kept} == {1, 4}
+
+
+def test_fingerprints_of_the_stage_are_those_of_the_operator(spark):
+    """Repeats count and texts without words have zero."""
+    rows = ["", " \t", "a b", "A b", "x y z u v " * 9 + "one two three four five six seven", "k " * 40 + "end of it"]
+    texts = spark.createDataFrame(list(enumerate(rows)), "node long, text string")
+    found = near_dedup.cells(texts, 5, 0.8).filter("pos = 0").select("node", "fp").collect()
+    assert {r.node: r.fp & (1 << 64) - 1 for r in found} == {
+        i: near_dedup.simhash.fingerprint(text, 5) for i, text in enumerate(rows)}
