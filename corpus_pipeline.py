@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import exact_dedup, mixing, near_dedup, packing, queries, toxicity
-from gleanery.session import cut_lineage
+from gleanery.session import bound_batches, cut_lineage
 
 #: The stages include a learned score, seeded choices and packing, which SQL cannot express.
 ORACLE_SQL = None
@@ -19,6 +19,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model does not predict to be toxic."""
+    bound_batches(spark)
     model = toxicity.train(docs, queries.table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).filter("predicted = 0").select("row.*")
 
@@ -32,6 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document, the one of the smallest id, of each component of near copies: texts that
     SimHash links and whose sets of five-word shingles have a Jaccard similarity of 0.8 or more,
     completed by those of such similarity that SimHash leaves apart."""
+    bound_batches(spark)
     return near_dedup.drop_near_duplicates(docs, shingle=5, similarity=0.8)
 
 
@@ -42,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences of 1024 tokens."""
+    bound_batches(spark)
     return packing.pack_documents(docs, queries.vocabulary(), capacity=1024, end_id=2)
 
 

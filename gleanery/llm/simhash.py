@@ -65,7 +65,7 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = SEED) -> int:
 
 
 def of_hashes(hashes: np.ndarray) -> int:
-    """The SimHash of a set of 64-bit hashes, signed: a bit is set if it is in over half of them."""
+    """The SimHash of 64-bit hashes, signed: a bit is set if it is in over half of them."""
     set_bits = np.zeros(64, dtype=np.int64)
     for a in range(0, len(hashes), 50_000):
         block = hashes[a:a + 50_000].astype(">i8")
@@ -136,15 +136,22 @@ def cell_masks(bits: int, groups: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def spread(prints: DataFrame) -> DataFrame:
+    """The fingerprints, which become many rows each, dealt to as many tasks as a shuffle has.
+
+    A hash of the key deals them: Spark leaves out a repartition by the key itself where an
+    aggregation has dealt by it before, and puts what that left, a few bytes, into a task or two.
+    """
+    return prints.select("fp").repartition(partitions(prints.sparkSession), F.xxhash64("fp"))
+
+
 def links(prints: DataFrame, bits: int = BITS, groups: int = GROUPS) -> DataFrame:
     """(node, root) of the components of distinct fingerprints `fp` that differ in at most
     `bits` bits; fingerprints that are the smallest of their component have no row."""
     if not 0 <= bits < groups <= 32:
         raise ValueError("there must be more groups than bits, and at most 32")
     vector = embedding(F.col("fp"))
-    # a fingerprint becomes many rows: spread the few bytes first
-    spread = prints.select("fp").repartition(partitions(prints.sparkSession), "fp")
-    cells = spread.select("fp", F.explode(F.array(*[
+    cells = spread(prints).select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("part"), vector.bitwiseAND(F.lit(m)).alias("counts"))
         for i, m in enumerate(cell_masks(bits, groups))])).alias("cell"))
     cells = cells.select("cell.part", "cell.counts", "fp")

@@ -6,6 +6,7 @@ import random
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[2]))
 
@@ -122,3 +123,24 @@ def test_fingerprints_of_the_stage_are_those_of_the_operator(spark):
     found = near_dedup.cells(texts, 5, 0.8).filter("pos = 0").select("node", "fp").collect()
     assert {r.node: r.fp & (1 << 64) - 1 for r in found} == {
         i: near_dedup.simhash.fingerprint(text, 5) for i, text in enumerate(rows)}
+
+
+def test_fingerprints_are_spread_after_an_aggregation(spark):
+    """They become many rows each; after a distinct() Spark put all of them into one task."""
+    prints = spark.range(500).select((F.col("id") * 7919).alias("fp")).distinct()
+    dealt = near_dedup.simhash.spread(prints)
+    assert dealt.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealt.count() == 500
+
+
+def test_stages_bound_their_batches(spark):
+    """Also in a session that was built elsewhere; a lower bound stays."""
+    key, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.createDataFrame([], "doc_id long, text string")
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("10000", "2000"), ("0", "2000"), ("300", "300")):
+            spark.conf.set(key, given)
+            corpus_pipeline.drop_near_copies(spark, docs, "")
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
