@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,39 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Calls that drop what a Python worker keeps from one task for the next.
+KEPT: list[Callable[[], None]] = []
+
+
+def forget() -> None:
+    """Drop what other operators' tasks have kept in this worker."""
+    for drop in KEPT:
+        drop()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps workers, and both libraries what they freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(code: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task that holds nothing of operators before it and leaves
+    no freed memory in the worker, which idles beside the stages that follow."""
+
+    @functools.wraps(code)
+    def run(batches: Iterator) -> Iterator:
+        forget()
+        try:
+            yield from code(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def runs_of(texts: Sequence[str], most_chars: int = 1_500_000) -> Iterator[slice]:
     """Slices of a batch whose texts together hold about `most_chars`; a longer text is alone."""
     start, held = 0, 0

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from gleanery.session import cut_lineage, drop_work
 
 from . import simhash
-from .common import WORD_RE, components, ragged, runs_of
+from .common import WORD_RE, components, lean, ragged, runs_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -101,6 +101,7 @@ def _texts(docs: DataFrame, text: str, *others: Column) -> DataFrame:
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     """(node, held): all shingles of each of the texts (node, text)."""
 
+    @lean
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -144,6 +145,7 @@ def cells(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     order = np.argsort(often, kind="stable")
     known = texts.sparkSession.sparkContext.broadcast((often[order], order))
 
+    @lean
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, ranks = known.value
         for batch in batches:

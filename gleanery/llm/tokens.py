@@ -11,7 +11,7 @@ from itertools import repeat
 
 import numpy as np
 
-from .common import coded_words, ragged, runs_of
+from .common import KEPT, coded_words, ragged, runs_of
 
 #: Characters below U+0250 by the classes of the splitting pattern (fixed values): letters,
 #: numbers and white space; white space beyond that range.
@@ -120,10 +120,13 @@ class Encoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file and Python worker."""
+    """One encoder for each tokenizer file and Python worker, until another operator runs there."""
     return Encoder(path)
 
 
+KEPT.append(encoder.cache_clear)
+
+
 def encoded(path: str, texts: Sequence[str | None], end_id: int) -> Iterator[np.ndarray]:
     """The ids of each text with `end_id` behind them; a null text is empty."""
     coder = encoder(path)

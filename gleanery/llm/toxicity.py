@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, coded_words, runs_of
+from .common import WORD_RE, coded_words, lean, runs_of
 
 #: Buckets of the hashed word features.
 BUCKETS = 1 << 20
@@ -364,6 +364,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
          model.curve))
 
     @F.arrow_udf(kind)
+    @lean
     def tag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights, bias, pairs, start, curve = shared.value
         tagger = Model(Field(weights, bias, pairs, start), curve)

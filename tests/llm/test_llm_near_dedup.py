@@ -5,6 +5,7 @@ import pathlib
 import random
 import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 
-from gleanery.llm import near_dedup  # noqa: E402
+from gleanery.llm import near_dedup, queries, tokens  # noqa: E402
 from gleanery.llm.common import WORD_RE  # noqa: E402
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -144,3 +145,21 @@ def test_stages_bound_their_batches(spark):
             assert spark.conf.get(key) == want
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_worker_keeps_nothing_of_other_operators(monkeypatch):
+    """The encoder that packing leaves in a worker goes when near-dedup runs there, and its own
+    freed memory when the task is over."""
+    class Texts:
+        mapInArrow = staticmethod(lambda code, schema: code)
+
+    given = []
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: type(
+        "Pool", (), {"release_unused": lambda self: given.append(tokens.encoder.cache_info().currsize)})())
+    tokens.encoder(queries.vocabulary())
+    assert tokens.encoder.cache_info().currsize == 1
+    batch = pa.RecordBatch.from_pydict({"node": [1], "text": ["a b c"]})
+    code = near_dedup.shingle_sets(Texts(), 5)
+    out = list(code(iter([batch])))
+    assert out[0].to_pydict() == {"node": [1], "held": [near_dedup.shingles("a b c").tolist()]}
+    assert tokens.encoder.cache_info().currsize == 0 and given == [0]
