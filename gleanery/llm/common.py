@@ -29,6 +29,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unsent(rows: DataFrame) -> DataFrame:
+    """Rows of cells, many for each text: the join above them is a sort-merge join, never a broadcast.
+
+    Spark sizes rows that an explode has multiplied as if there were one for each input row, and
+    files by their compressed bytes; a side it takes for small is built in the driver.
+    """
+    return rows.hint("merge")
+
+
 #: Calls that drop what a Python worker keeps from one task for the next.
 KEPT: list[Callable[[], None]] = []
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gleanery.session import cut_lineage
 
-from .common import WORD_RE, components, partitions
+from .common import WORD_RE, components, partitions, unsent
 
 SEED = 42
 BITS = 4
@@ -157,7 +157,7 @@ def links(prints: DataFrame, bits: int = BITS, groups: int = GROUPS) -> DataFram
     cells = cells.select("cell.part", "cell.counts", "fp")
     shared = (cells.groupBy("part", "counts").agg(F.min("fp").alias("first"), F.max("fp").alias("l"))
               .filter("first <> l").drop("l"))
-    members = cut_lineage(cells.join(shared, ["part", "counts"]), "cells")
+    members = cut_lineage(unsent(cells).join(shared, ["part", "counts"]), "cells")
 
     def near(a: Column, b: Column) -> Column:
         return ((F.bit_count(embedding(a).bitwiseXOR(embedding(b))) <= bits)
@@ -172,11 +172,11 @@ def links(prints: DataFrame, bits: int = BITS, groups: int = GROUPS) -> DataFram
     usual = (held.groupBy("part", "counts").agg(
         F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("several"))
         .filter("several > 1").select("part", "counts", F.col("top.root").alias("usual")))
-    mixed = named.join(usual, ["part", "counts"])
+    mixed = unsent(named).join(usual, ["part", "counts"])
     fewer = mixed.filter("root <> usual").select(
         "part", "counts", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
     more = mixed.select("part", "counts", "fp", "root")
-    across = (fewer.join(more, ["part", "counts"])
+    across = (unsent(fewer).join(more, ["part", "counts"])
               .filter((F.col("root") != F.col("root2")) & near(F.col("fp"), F.col("fp2")))
               .select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct())
     joined = components(across)

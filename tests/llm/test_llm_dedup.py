@@ -204,3 +204,21 @@ def test_substrings_with_passages_and_a_long_text(spark):
     rows.append((99, " ".join([word() for _ in range(30_000)] + passage)))
     assert removed(spark, rows, 35, 8) == slow_removal(rows, 35)
     assert substring.remove_repeats(frame(spark, [])).collect() == []
+
+
+def test_cells_never_pass_the_driver(spark, monkeypatch):
+    plans = []
+
+    def watched(df, purpose="stage"):
+        plans.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return kept(df, purpose)
+
+    kept = simhash.cut_lineage
+    monkeypatch.setattr(simhash, "cut_lineage", watched)
+    rows = [(i,) for i in (0, 1, 3, 1 << 40, (1 << 40) + 1, 0x0F0F << 20)]
+    prints = kept(spark.createDataFrame(rows, "fp long"), "nodes")  # files have a size
+    roots = simhash.links(prints).collect()
+    assert {(r.node, r.root) for r in roots} == {
+        (1, 0), (3, 0), (1 << 40, 0), ((1 << 40) + 1, 0)}
+    first = next(plan for purpose, plan in plans if purpose == "cells")
+    assert "Generate" in first and "SortMergeJoin" in first and "Broadcast" not in first
