@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from gleanery.session import cut_lineage, drop_work
 
 from . import simhash
-from .common import WORD_RE, components, lean, ragged, runs_of
+from .common import WORD_RE, components, lean, ragged, runs_of, unsent
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -187,7 +187,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
     shared = (found.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last"))
               .filter("first <> last").select("shingle"))
     # copies of a text are one member
-    members = cut_lineage(found.drop("bits", "fp").join(cut_lineage(shared, "shared"), "shingle").distinct(), "cells")
+    members = cut_lineage(unsent(found.drop("bits", "fp")).join(cut_lineage(shared, "shared"), "shingle").distinct(), "cells")
     marks = cut_lineage(found.filter("pos = 0").dropDuplicates(["node"]).select("node", "n", "bits", "fp"), "marks")
     drop_work(found)
 
@@ -229,7 +229,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
 
     head = lambda c: F.min(F.struct("pos", "node", "n")).alias(c)
     heads = cut_lineage(members.groupBy("shingle").agg(head("head")), "heads")
-    to_head = members.join(heads, "shingle").filter("node <> head.node").select(
+    to_head = unsent(members).join(heads, "shingle").filter("node <> head.node").select(
         F.col("node").alias("a"), F.col("head.node").alias("b"), "n", "pos",
         F.col("head.n").alias("n2"), F.col("head.pos").alias("pos2"))
     star = cut_lineage(_contracted(star, alike(to_head, star)), "links")
@@ -244,13 +244,13 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
             F.max(F.struct("rows", "root", "head")).alias("top"), F.count("*").alias("several"))
         usual = cut_lineage(several.filter("several > 1").select(
             "shingle", F.col("top.root").alias("usual"), F.col("top.head").alias("usual_head")), "usual")
-        return named.join(usual, "shingle"), named
+        return unsent(named).join(usual, "shingle"), named
 
     # members of the usual component with the best one of the others, these with the best usual one
     mixed, named = mixed_cells()
     strangers = cut_lineage(mixed.filter("root <> usual").groupBy("shingle").agg(head("other")), "heads")
     other = F.when(F.col("root") == F.col("usual"), F.col("other")).otherwise(F.col("usual_head"))
-    again = alike(mixed.join(strangers, "shingle").withColumn("other", other).select(
+    again = alike(unsent(mixed).join(strangers, "shingle").withColumn("other", other).select(
         F.col("node").alias("a"), F.col("other.node").alias("b"), "n", "pos",
         F.col("other.n").alias("n2"), F.col("other.pos").alias("pos2")))
     star = cut_lineage(_contracted(star, again), "links")
@@ -260,7 +260,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
     fewer = mixed.filter("root <> usual").select(
         F.col("shingle").alias("cell"), F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"),
         F.col("root").alias("root2"), "usual")
-    across = fewer.join(mixed.select("shingle", "node", "n", "pos", "root"), (
+    across = unsent(fewer).join(mixed.select("shingle", "node", "n", "pos", "root"), (
         F.col("cell") == F.col("shingle")) & (F.col("root") != F.col("root2"))
         & ((F.col("root") == F.col("usual")) | (F.col("node") < F.col("node2")))
         & _enough("n", "pos", "n2", "pos2", similarity)).select(

@@ -3,6 +3,7 @@
 import collections
 import pathlib
 import random
+import re
 import sys
 
 import pyarrow as pa
@@ -163,3 +164,21 @@ def test_a_worker_keeps_nothing_of_other_operators(monkeypatch):
     out = list(code(iter([batch])))
     assert out[0].to_pydict() == {"node": [1], "held": [near_dedup.shingles("a b c").tolist()]}
     assert tokens.encoder.cache_info().currsize == 0 and given == [0]
+
+
+def test_joins_of_cells_never_pass_the_driver(spark, monkeypatch):
+    joins = []
+
+    def watched(df, purpose="stage"):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        joins.extend(re.findall(r"(\w+Join) \[(?:shingle|cell)#", plan))
+        return kept(df, purpose)
+
+    kept = near_dedup.cut_lineage
+    monkeypatch.setattr(near_dedup, "cut_lineage", watched)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[1:])), (3, " ".join(words[:-1])), (4, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(docs).collect()} == {
+        (1, 1), (2, 1), (3, 1), (4, 4)}
+    assert set(joins) == {"SortMergeJoin"}
